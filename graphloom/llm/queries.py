@@ -6,15 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import pii
+from graphloom.llm import license_scan, pii, url_filter
 from graphloom.llm.common import table
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_licenses": op6_licenses,
+    "op9_urls": op9_urls,
     "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {}
