@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import license_scan, minhash, pii, url_filter
+from graphloom.llm import langid, license_scan, minhash, pii, url_filter
 from graphloom.llm.common import table
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=85)
 
@@ -27,6 +31,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language": op3_language,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_licenses": op6_licenses,
     "op9_urls": op9_urls,
