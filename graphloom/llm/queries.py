@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import langid, license_scan, minhash, pii, url_filter
+from graphloom.llm import ann, decontaminate, langid, license_scan, minhash, pii, url_filter
 from graphloom.llm.common import table
 
 
@@ -18,10 +18,19 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=85)
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontaminate.leaks(docs, items).drop("text_hash")
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -33,7 +42,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_neighbours": op5_neighbours,
     "op6_licenses": op6_licenses,
+    "op7_decontamination": op7_decontamination,
     "op9_urls": op9_urls,
     "op10_pii": op10_pii,
 }
