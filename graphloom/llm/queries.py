@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import ann, decontaminate, langid, license_scan, minhash, pii, url_filter
+from graphloom.llm import ann, decontaminate, langid, license_scan, minhash, mixing, pii, url_filter
 from graphloom.llm.common import table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(table(spark, sf_dir, "documents", "doc_id", "text", "source")).taken()
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -40,6 +44,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op3_language": op3_language,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_neighbours": op5_neighbours,
