@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm import ann, decontaminate, langid, license_scan, minhash, mixing, pii, url_filter
+from graphloom.llm import ann, decontaminate, html_text, langid, license_scan, minhash, mixing, pii, quality, url_filter
 from graphloom.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(table(spark, sf_dir, "documents", "doc_id", "text", "source")).taken()
 
 
+def op2_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digest(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -35,6 +39,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(docs, items).drop("text_hash")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -45,11 +53,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_extraction": op2_extraction,
     "op3_language": op3_language,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_neighbours": op5_neighbours,
     "op6_licenses": op6_licenses,
     "op7_decontamination": op7_decontamination,
+    "op8_quality": op8_quality,
     "op9_urls": op9_urls,
     "op10_pii": op10_pii,
 }
