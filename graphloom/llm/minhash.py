@@ -9,10 +9,13 @@ the ``SKETCH`` smallest are its bottom-k sketch.
    (certain for sets not much larger than the sketch, beyond five standard deviations
    otherwise), so each class looks only at its ``size - need + 1`` *rarest*
    retained values: passages that many documents share seldom are among them.
-3. Long lists are first linked as stars (each value picks its own centre), and
-   classes that a confirmed star has joined aren't compared again; so a large
+3. Long lists are first linked as stars: the centres are the classes whose values
+   most others share, as the original of many copies is.  Classes that a confirmed
+   star has joined aren't compared again; so a large
    group of near copies costs a few links each and no quadratic number of pairs.
-4. Every remaining pair of a list, across components and within the size bound,
+4. In long lists that are still open, the shingles that only one class has bound
+   what it can share; classes that can't reach a link drop out (:func:`_able`).
+   Every remaining pair of a list, across components and within the size bound,
    passes the union-sketch estimate and is confirmed on the full sets.
 5. Confirmed links are closed into components.
 
@@ -44,6 +47,10 @@ SKETCH = 64
 NEED = {85: 40, 80: 35}
 #: Lists longer than this are linked as stars first.
 STAR = 24
+#: Centres of a long list.
+CENTRES = 3
+#: Lists longer than this, after the stars, are thinned by what a class can share at all.
+CROWD = 32
 #: So many candidate ids at most (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 #: Standard deviations below the threshold at which the union-sketch estimate still passes a pair.
@@ -95,7 +102,10 @@ def _size_ok(a: Column, b: Column, percent: int) -> Column:
 
 
 def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(value, cid, n) of the rarest retained values that a link can't do without; only values of two classes or more."""
+    """(value, cid, n, df, popular) of the rarest retained values that a link can't do without; only values of two classes or more.
+
+    ``popular`` sums how many classes hold each of a class's retained values: what others were copied from comes first.
+    """
     posts = classes.select("cid", "n", F.explode("hashes").alias("value"))
     # lists of one class link nothing; the rest is written, so that both sides of the join are plain exchanges that can be split
     counts = cut(posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
@@ -104,8 +114,9 @@ def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
     shared = posts.join(counts, "value").groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
     # values of one class come first in the order of rarity; what is left of the prefix goes to the rarest shared ones
     left = kept - need + 1 - (kept - F.size("v"))
-    return shared.where(left > 0).select("cid", "n", F.explode(F.slice("v", 1, left.cast("int"))).alias("x")).select(
-        F.col("x.value").alias("value"), "cid", "n", F.col("x.df").alias("df")
+    popular = F.aggregate("v", F.lit(0).cast("long"), lambda acc, x: acc + x["df"]).alias("popular")
+    return shared.where(left > 0).select("cid", "n", popular, F.explode(F.slice("v", 1, left.cast("int"))).alias("x")).select(
+        F.col("x.value").alias("value"), "cid", "n", F.col("x.df").alias("df"), "popular"
     )
 
 
@@ -117,6 +128,25 @@ def _full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: in
     return cut(signatures(texts, words, full=True).select("cid", F.col("hashes").alias("full")))
 
 
+def _able(docs: DataFrame, classes: DataFrame, lists: DataFrame, words: int, percent: int) -> DataFrame:
+    """``lists`` (value, cid, n, root) with ``reach``, the most shingles that a class can share with another, less the entries that can't link.
+
+    In lists longer than ``CROWD`` the shingles that no other class of such lists has are
+    counted on the full sets: they are in no intersection there.  A link needs an intersection of
+    ``percent / (100 + percent)`` of both sizes together, so an entry whose reach is too small even
+    for the smallest class of its list goes.  In shorter lists the reach is the size.
+    """
+    long = lists.groupBy("value").count().where(F.col("count") > CROWD).select("value")
+    crowd = cut(lists.join(long, "value"))
+    sets = _full_sets(docs, classes, crowd.select("cid").distinct(), words)
+    own = sets.select("cid", F.explode("full").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.first("cid").alias("cid")).where("k = 1")
+    own = own.groupBy("cid").agg(F.count(F.lit(1)).alias("own"))
+    crowd = cut(crowd.join(own, "cid", "left").select("value", "cid", "n", "root", (F.col("n") - F.coalesce("own", F.lit(0))).alias("reach")))
+    least = crowd.groupBy("value").agg(F.min("n").alias("least"))
+    crowd = crowd.join(least, "value").where(F.col("reach") * (100 + percent) >= percent * (F.col("n") + F.col("least"))).drop("least")
+    return lists.join(long, "value", "left_anti").withColumn("reach", F.col("n")).unionByName(crowd)
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
 
@@ -171,10 +201,10 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     )
     posts = cut(_prefixes(classes, percent))
 
-    # stars: each long list links its members to a centre that the value picks
-    order = F.xxhash64("value", "cid")
+    # stars: each long list links its members to a few centres, the most popular of each part of the list
     long = posts.where(F.col("df") > STAR)
-    centres = cut(long.groupBy("value").agg(F.min_by(F.struct("cid", "n"), order).alias("c")))
+    part = F.pmod(F.xxhash64("cid"), F.lit(CENTRES))
+    centres = cut(long.groupBy("value", part.alias("part")).agg(F.max_by(F.struct("cid", "n"), F.struct("popular", "cid")).alias("c")).drop("part"))
     stars = long.join(centres, "value").where((F.col("cid") != F.col("c.cid")) & _size_ok(F.col("n"), F.col("c.n"), percent))
     stars = stars.select(F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b")).distinct()
     likely = cut(_estimate(stars, classes, percent))
@@ -185,10 +215,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     marked = cut(posts.join(joined, "cid", "left").select("value", "cid", "n", F.coalesce("root", "cid").alias("root")))
     mixed = cut(marked.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("value"))
     open_lists = cut(marked.join(mixed, "value"))
-    l, r = open_lists.alias("l"), open_lists.alias("r")
+    able = cut(_able(docs, classes, open_lists, words, percent))
+    l, r = able.alias("l"), able.alias("r")
+    reach = F.least("l.reach", "r.reach")
     pairs = l.join(r, F.col("l.value") == F.col("r.value")).where(
         (F.col("l.cid") < F.col("r.cid")) & (F.col("l.root") != F.col("r.root")) & _size_ok(F.col("l.n"), F.col("r.n"), percent)
-    )
+        & (reach * (100 + percent) >= percent * (F.col("l.n") + F.col("r.n")))
+    )
     pairs = pairs.select(F.col("l.cid").alias("a"), F.col("r.cid").alias("b")).distinct()
     likely = cut(_estimate(pairs, classes, percent))
     more = cut(_confirm(likely, _full_sets(docs, classes, _ends(likely), words), percent))
