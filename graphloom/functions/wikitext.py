@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _BRACES, _BRACKETS = re.compile(r"(\{\{|\}\})"), re.compile(r"(\[\[|\]\])")
@@ -67,16 +69,15 @@ def infobox_links(text: str) -> list[str]:
     return list(found)
 
 
-@F.pandas_udf("string")
-def strip_templates(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else outside_templates(t)).astype(object)
+def _mapped(kind: str, function: Callable[[str], object]) -> Callable[[str | Column], Column]:
+    """A column function of texts; null stays null."""
 
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else function(t) for t in texts], dtype=object)
 
-@F.pandas_udf("array<string>")
-def extract_links(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else link_markups(t))
+    return lambda column: F.pandas_udf(run, kind)(column)
 
 
-@F.pandas_udf("array<string>")
-def extract_infobox_links(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else infobox_links(t))
+strip_templates = _mapped("string", outside_templates)
+extract_links = _mapped("array<string>", link_markups)
+extract_infobox_links = _mapped("array<string>", infobox_links)

@@ -33,17 +33,19 @@ def title_index(pages: DataFrame) -> DataFrame:
 
 
 def resolve_redirects(redirects: DataFrame) -> DataFrame:
-    """(from_id, final_id): follow redirects by pointer jumping; members of a loop resolve to its smallest id."""
-    state = written(redirects.groupBy("from_id").agg(F.min("to_id").alias("to_id")).select("from_id", "to_id", F.col("to_id").alias("low")))
+    """(from_id, final_id): redirects followed to the end by pointer jumping; what leads into a loop gets the loop's smallest id."""
+    state = written(redirects.groupBy("from_id").agg(F.min("to_id").alias("to_id")).withColumn("low", F.col("to_id")))
+    n, steps = state.count(), 1
     while True:
+        # to_id is ``steps`` redirects away, low the smallest id on the way
         hop = state.select(F.col("from_id").alias("mid"), F.col("to_id").alias("next"), F.col("low").alias("next_low"))
         jumped = state.join(hop, F.col("to_id") == F.col("mid"), "left")
         new = written(jumped.select("from_id", F.coalesce("next", "to_id").alias("to_id"), F.least("low", F.coalesce("next_low", "low")).alias("low"), F.col("mid").isNotNull().alias("open")))
-        moved = new.join(state.select("from_id", F.col("to_id").alias("was"), F.col("low").alias("was_low")), "from_id")
-        # a chain is done when it ends; in a loop the smallest id seen stops changing
-        if moved.where(F.col("open") & (F.col("low") != F.col("was_low"))).isEmpty() and moved.where(F.col("open") & (F.col("to_id") != F.col("was"))).join(new.where("NOT open").select(F.col("from_id").alias("to_id")), "to_id").isEmpty():
-            return new.select("from_id", F.when(F.col("open"), F.col("low")).otherwise(F.col("to_id")).alias("final_id"))
-        state = new.drop("open")
+        if steps > n or new.where("open").isEmpty():
+            break
+        state, steps = new.drop("open"), 2 * steps
+    loops = new.select(F.col("from_id").alias("to_id"), F.col("low").alias("loop"))
+    return new.join(loops, "to_id", "left").select("from_id", F.coalesce("loop", "to_id").alias("final_id"))
 
 
 def links_of(texts: DataFrame, nested: bool = True) -> DataFrame:
