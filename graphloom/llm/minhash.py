@@ -216,13 +216,16 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     mixed = cut(marked.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("value"))
     open_lists = cut(marked.join(mixed, "value"))
     able = cut(_able(docs, classes, open_lists, words, percent))
+    # a pair that meets in several lists counts in the first of them only
+    able = cut(able.join(able.groupBy("cid").agg(F.sort_array(F.collect_list("value")).alias("values")), "cid"))
     l, r = able.alias("l"), able.alias("r")
+    first = F.element_at(F.array_intersect("l.values", "r.values"), 1) == F.col("l.value")
     reach = F.least("l.reach", "r.reach")
     pairs = l.join(r, F.col("l.value") == F.col("r.value")).where(
         (F.col("l.cid") < F.col("r.cid")) & (F.col("l.root") != F.col("r.root")) & _size_ok(F.col("l.n"), F.col("r.n"), percent)
-        & (reach * (100 + percent) >= percent * (F.col("l.n") + F.col("r.n")))
+        & (reach * (100 + percent) >= percent * (F.col("l.n") + F.col("r.n"))) & first
     )
-    pairs = pairs.select(F.col("l.cid").alias("a"), F.col("r.cid").alias("b")).distinct()
+    pairs = pairs.select(F.col("l.cid").alias("a"), F.col("r.cid").alias("b"))
     likely = cut(_estimate(pairs, classes, percent))
     more = cut(_confirm(likely, _full_sets(docs, classes, _ends(likely), words), percent))
     found = components(links.union(more))
