@@ -145,7 +145,7 @@ ruby | ruby license | (?:under the|same terms as) Ruby License
 php-3.01 | php license | The PHP License, version 3\.01
 zpl-2.1 | zope public license | Zope Public License \(ZPL\) Version 2\.1
 unicode-dfs | unicode, inc | Unicode, Inc\. License Agreement
-libpng | libpng | PNG Reference Library License
+libpng | png reference library | PNG Reference Library License
 curl | curl license | curl license
 #95
 cc-by-nc-nd-4.0 | creativecommons.org | creativecommons\.org/licenses/by-nc-nd/4\.0
@@ -255,13 +255,13 @@ mit | mit license | \bMIT License\b
 mit | expat license | \bExpat License\b
 apache | apache license | \bApache License\b
 isc | isc license | \bISC License\b
-zlib | zlib license | \bzlib(?:/libpng)? License\b
+zlib | zlib | \bzlib(?:/libpng)? License\b
 unlicense | the unlicense | \bThe Unlicense\b
 wtfpl | wtfpl | \bWTFPL\b
 bsl-1.0 | boost software license | \bBoost Software License\b
 artistic | artistic license | \bArtistic License\b
-bsd | bsd license | \bBSD(?:-style)? License\b
-bsd | bsd licence | \bBSD(?:-style)? Licence\b
+bsd | bsd | \bBSD(?:-style)? License\b
+bsd | bsd | \bBSD(?:-style)? Licence\b
 agpl | affero | \bAffero General Public License\b
 lgpl | lesser general public license | \bLesser General Public License\b
 lgpl | library general public license | \bLibrary General Public License\b
@@ -303,7 +303,7 @@ reserved | todos los derechos | \bTodos los derechos reservados\b
 copyright-notice | copyright | \bCopyright (?:\(c\)|©)? ?(?:19|20)[0-9]{2}(?:-(?:19|20)[0-9]{2})?
 copyright-notice | copyright | \bCopyright (?:\(c\)|©) [A-Z][A-Za-z]+
 licensed | licensed under | \blicensed under (?:the )?(?:terms of )?[A-Za-z0-9.-]+ licen[sc]e
-licence-file | license file | \bSee (?:the )?LICENSE(?:\.txt|\.md)? file
+licence-file | license | \bSee (?:the )?LICENSE(?:\.txt|\.md)? file
 """
 
 
