@@ -63,3 +63,12 @@ def test_every_match_has_its_keyword(spark):
 @pytest.mark.parametrize("text", ["BSD-style license", "BSD-style licence", "zlib/libpng License", "See the LICENSE.txt file", "See LICENSE.md file"])
 def test_optional_parts_of_names(spark, text):
     assert lost(spark, [(0, text, 0, len(text))]) == []
+
+
+def test_every_match_has_a_stem(spark):
+    assert lost(spark, list(cases(""))) == []
+
+
+@pytest.mark.parametrize("text", ["Unauthorized copying of this file is strictly prohibited", "No part of this book may be reproduced", "No part of this work may be reproduced", "TOUS DROITS RESERVES"])
+def test_lines_that_stand_alone(spark, text):
+    assert lost(spark, [(0, text, 0, len(text))]) == []
