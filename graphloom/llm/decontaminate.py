@@ -3,7 +3,8 @@
 Text is lower-cased and cut into words (runs of letters and digits); shingles
 are five words.  A document leaks an item if one of its windows, as many words
 long as the item, has a weighted-shingle similarity (sum of the smaller
-multiplicities over sum of the larger) of ``percent`` or more with it.
+multiplicities over sum of the larger) of ``percent`` or more with it.  A text
+shorter than the item is its own one window.
 
 1. Only places near a shingle that some item has can hold such a window: a
    membership filter over the shingles of all items finds them.  A similar window
@@ -77,13 +78,17 @@ def shingles_of(words: Column) -> Column:
 def _stride(lengths: list[int], percent: int) -> int:
     """The largest step such that, of every ``step``-th place, each similar enough window has one whose shingle the item has.
 
-    Two sets of m shingles as similar as that share ``least`` of them, so a window of m
-    has at most ``m - least`` places that the item lacks.
+    Sets of m and n shingles as similar as that share ``least`` of them, so a window of n
+    has at most ``n - least`` places that the item lacks.  A window of fewer than m is a
+    whole text, whose first place is tried.
     """
 
     def fits(step: int, m: int) -> bool:
-        least = -(-2 * percent * m // (100 + percent))
-        return m // step > m - least
+        for n in range(-(-percent * m // 100), m + 1):
+            least = -(-percent * (m + n) // (100 + percent))
+            if (n // step if n == m else -(-n // step)) <= n - least:
+                return False
+        return True
 
     return max(step for step in range(1, 65) if step == 1 or all(fits(step, m) for m in lengths))
 
@@ -217,19 +222,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
     parts = parts.select("doc_id", "text_hash", "x.first", F.col("x.words").alias("words"))
     parts = parts.select("doc_id", "text_hash", "first", shingles_of(F.col("words")).alias("h"))
 
-    # windows of m shingles that hold a shingle of an item of that length
+    # windows of m shingles that hold a shingle of an item of that length; a stretch of fewer than m is a whole text
     own = F.filter("h", lambda h: _probe(h, bits, size))
     # through one-element arrays, so that what a lambda uses is made once
     live = F.flatten(
         F.transform(
             F.array(own),
-            lambda found: F.filter(F.array(*[F.lit(m) for m in lengths]), lambda m: (F.size("h") >= m) & F.exists(found, lambda h: _probe(of_length(h, m), bits, size))),
+            lambda found: F.filter(F.array(*[F.lit(m) for m in lengths]), lambda m: (100 * F.size("h") >= percent * m) & F.exists(found, lambda h: _probe(of_length(h, m), bits, size))),
         )
     )
     lives = parts.select("doc_id", "text_hash", "first", "h", F.explode_outer(live).alias("m")).where("m IS NOT NULL")
     lit = F.transform("h", lambda h: F.when(_probe(of_length(h, F.col("m")), bits, size), 1).otherwise(0))
     starts = F.flatten(
-        F.transform(F.array(lit), lambda x: F.filter(F.sequence(F.lit(1), F.size("h") - F.col("m") + 1), lambda i: F.array_contains(F.slice(x, i, F.col("m")), 1)))
+        F.transform(F.array(lit), lambda x: F.filter(F.sequence(F.lit(1), F.greatest(F.size("h") - F.col("m") + 1, F.lit(1))), lambda i: F.array_contains(F.slice(x, i, F.col("m")), 1)))
     )
     windows = lives.select("doc_id", "text_hash", "first", "h", "m", F.explode_outer(starts).alias("i")).where("i IS NOT NULL")
     windows = windows.select("doc_id", "text_hash", (F.col("first") + F.col("i") - 2).alias("first_word"), "m", F.slice("h", F.col("i"), F.col("m")).alias("w"))
@@ -244,11 +249,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
 
     # a set of numbered repeats is a multiset
     common = F.size(F.array_intersect(F.col("counted"), F.col("item_counted")))
-    scored = near.withColumn("common", common).where(100 * F.col("common") >= percent * (2 * F.col("m") - F.col("common")))
-    scored = scored.withColumn("similarity", F.col("common") / (2 * F.col("m") - F.col("common")))
-    best = scored.groupBy("doc_id", "text_hash", "item_id", "m").agg(F.max(F.struct("similarity", (-F.col("first_word")).alias("neg"))).alias("b"))
+    scored = near.withColumns({"common": common, "n": F.size("counted")})
+    either = F.col("m") + F.col("n") - F.col("common")
+    scored = scored.where(100 * F.col("common") >= percent * either).withColumn("similarity", F.col("common") / either)
+    best = scored.groupBy("doc_id", "text_hash", "item_id", "n").agg(F.max(F.struct("similarity", (-F.col("first_word")).alias("neg"))).alias("b"))
     return best.select(
-        "doc_id", "text_hash", "item_id", F.col("b.similarity").alias("similarity"), (-F.col("b.neg")).alias("first_word"), (F.col("m") + SHINGLE - 1).alias("n_words")
+        "doc_id", "text_hash", "item_id", F.col("b.similarity").alias("similarity"), (-F.col("b.neg")).alias("first_word"), (F.col("n") + SHINGLE - 1).alias("n_words")
     )
 
 
