@@ -35,7 +35,6 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 TRAIN_PER_LANG = 600
 TRAIN_WINDOWS = 3
-MAX_LANGS = 64
 EPOCHS = 6
 BATCH = 64
 UNKNOWN = "und"
@@ -127,13 +126,10 @@ def windows_of(data: np.ndarray) -> np.ndarray:
 def _training_rows(docs: DataFrame) -> DataFrame:
     """(lang, window) of the bounded sample."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not counts:
-        return usable.select("lang", F.lit(None).cast("binary").alias("window")).limit(0)
-    rate = F.lit(0)
-    for lang, n in counts:
-        rate = F.when(F.col("lang") == lang, F.lit(int(min(1.0, TRAIN_PER_LANG / n) * 1_000_000))).otherwise(rate)
-    chosen = usable.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < rate).select("doc_id", "lang", "text")
+    rate = F.floor(F.least(F.lit(1.0), F.lit(float(TRAIN_PER_LANG)) / F.col("count")) * 1_000_000)
+    # a row for each language
+    rates = F.broadcast(usable.groupBy("lang").count().select("lang", rate.alias("rate")))
+    chosen = usable.join(rates, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < F.col("rate")).select("doc_id", "lang", "text")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
