@@ -75,7 +75,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def signatures(docs: DataFrame, words: int, full: bool = False) -> DataFrame:
-    """doc_id, n (set size), cid (digest of the set, null if empty) and the sketch, or with ``full`` the whole set."""
+    """doc_id, text_hash, n (set size), cid (digest of the set, null if empty) and the sketch, or with ``full`` the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -85,16 +85,17 @@ def signatures(docs: DataFrame, words: int, full: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
+                        batch.column("text_hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                         _lists([s if full else s[:SKETCH] for s in sets]),
                     ],
-                    names=["doc_id", "n", "cid", "hashes"],
+                    names=["doc_id", "text_hash", "n", "cid", "hashes"],
                 )
 
     kind = docs.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n", T.LongType()), T.StructField("cid", T.BinaryType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cid", T.BinaryType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, schema)
 
 
 def _size_ok(a: Column, b: Column, percent: int) -> Column:
@@ -195,6 +196,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
+    return _grouped(docs, words, percent).drop("text_hash")
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The columns of :func:`near_duplicates` with text_hash (xxhash64 of the text), which tells rows with the same doc_id apart."""
     signed = cut(signatures(docs, words))
     classes = cut(
         signed.where("cid IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("hashes").alias("hashes"))
@@ -234,15 +240,16 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_class = named.join(smallest, "root").select("cid", "component_id")
     rep = cut(classes.select("cid", "rep").join(of_class, "cid", "left").select("cid", F.coalesce("component_id", "rep").alias("component_id")))
-    out = signed.select("doc_id", "n", "cid").join(rep, "cid", "left")
+    out = signed.select("doc_id", "text_hash", "n", "cid").join(rep, "cid", "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents whose near-duplicate group keeps another one (columns unchanged).
 
-    Rows that repeat a kept doc_id stay; wordless texts all stay.
+    Rows that repeat a kept doc_id in its group stay; wordless texts all stay.
     """
-    ids = cut(near_duplicates(docs, words, percent).where("NOT kept").select("doc_id").distinct())
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+    gone = cut(_grouped(docs, words, percent).where("NOT kept").select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash")).distinct())
+    same = docs["doc_id"].eqNullSafe(F.col("__doc_id")) & (F.xxhash64(docs["text"]) == F.col("__text_hash"))
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
