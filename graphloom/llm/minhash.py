@@ -5,19 +5,20 @@ the ``SKETCH`` smallest are its bottom-k sketch.
 
 1. Documents with equal sets form a class; from here on only classes count.
 2. Inverted lists of retained values generate overlaps.  Two sets with
-   similarity >= ``threshold`` share at least ``need`` of their retained values
-   (certain for sets not much larger than the sketch, beyond five standard deviations
-   otherwise), so each class looks only at its ``size - need + 1`` *rarest*
-   retained values: passages that many documents share seldom are among them.
+   similarity >= the threshold share at least :func:`needed` of their retained values, so each
+   class looks only at its ``size - need + 1`` *rarest* retained values: passages that many
+   documents share seldom are among them.  This is certain for sets not much larger than the sketch;
+   of other pairs exactly at the threshold fewer than one in 10^8 is lost.
 3. Long lists are first linked as stars: the centres are the classes whose values
-   most others share, as the original of many copies is.  Classes that a confirmed
-   star has joined aren't compared again; so a large
+   most others share, as the original of many copies is.  Classes that confirmed
+   stars have joined aren't compared again, so a large
    group of near copies costs a few links each and no quadratic number of pairs.
-4. In long lists that are still open, the shingles that only one class has bound
-   what it can share; classes that can't reach a link drop out (:func:`_able`).
-   Every remaining pair of a list, across components and within the size bound,
-   passes the union-sketch estimate and is confirmed on the full sets.
-5. Confirmed links are closed into components.
+4. In long lists that are still open an exact bound on the full sets says which classes can link at all.
+   A shingle is rare if at most ``RARE`` classes of such lists hold it.  Pairs that share rare shingles
+   are listed by them, at most ``RARE`` for each; all other pairs share only what isn't rare
+   (the *reach* of a class), so they need a reach as large as a link's intersection (:func:`_bounded`).
+5. The remaining pairs pass the union-sketch estimate and are confirmed on the full sets.
+6. Confirmed links are closed into components.
 
 Full sets are made again from the texts of candidates only.  Hashes are 64 bits
 wide; a set of classes is exact up to their collisions.
@@ -31,7 +32,8 @@ empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,18 +45,28 @@ from graphloom.llm.common import cut
 from graphloom.llm.shingles import shingle_set, word_hashes
 
 SKETCH = 64
-#: Of SKETCH retained values, a pair at similarity 0.85 shares 54 or more on average (standard deviation 2.9).
-NEED = {85: 40, 80: 35}
+#: Standard deviations of the shared retained values, below the mean at the threshold, that a link is still found at.
+SLACK = 7.5
 #: Lists longer than this are linked as stars first.
 STAR = 24
 #: Centres of a long list.
 CENTRES = 3
 #: Lists longer than this, after the stars, are thinned by what a class can share at all.
 CROWD = 32
-#: So many candidate ids at most (8 bytes each) are broadcast; more are joined by a shuffle.
+#: A shingle of at most so many classes of long lists is rare there.
+RARE = 16
+#: Entries of a list that one task pairs with the whole list.
+SALT = 1000
+#: So many candidate ids at most (24 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
-#: Standard deviations below the threshold at which the union-sketch estimate still passes a pair.
-SLACK = 5.0
+#: Rows of inverted lists that make up one task of the steps after them.
+ROWS = 20_000
+
+
+def needed(percent: int) -> int:
+    """Retained values (of ``SKETCH``) that two sets at the threshold share at least."""
+    t = percent / 100
+    return max(1, math.floor(SKETCH * t - SLACK * (SKETCH * t * (1 - t)) ** 0.5))
 
 
 def _buffers(column: pa.Array | pa.ChunkedArray) -> Iterator[np.ndarray]:
@@ -64,8 +76,9 @@ def _buffers(column: pa.Array | pa.ChunkedArray) -> Iterator[np.ndarray]:
         yield np.frombuffer(buffer, np.uint8) if buffer is not None and buffer.size else np.zeros(0, np.uint8)
 
 
-def _digest(hashes: np.ndarray) -> bytes:
-    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+def _digest(hashes: np.ndarray) -> np.ndarray:
+    """128 bits that tell sets apart, as two signed integers."""
+    return np.frombuffer(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), np.int64)
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -75,26 +88,28 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def signatures(docs: DataFrame, words: int, full: bool = False) -> DataFrame:
-    """doc_id, text_hash, n (set size), cid (digest of the set, null if empty) and the sketch, or with ``full`` the whole set."""
+    """doc_id, text_hash, n (set size), c1 and c2 (digest of the set, null if empty) and the sketch, or with ``full`` the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):  # a bound on what one step holds
                 batch = whole.slice(at, 512)
                 sets = [shingle_set(word_hashes(b), words) for b in _buffers(batch.column("text"))]
+                ids = [_digest(s) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
                         batch.column("text_hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+                        pa.array([i[0] for i in ids], pa.int64()),
+                        pa.array([i[1] for i in ids], pa.int64()),
                         _lists([s if full else s[:SKETCH] for s in sets]),
                     ],
-                    names=["doc_id", "text_hash", "n", "cid", "hashes"],
+                    names=["doc_id", "text_hash", "n", "c1", "c2", "hashes"],
                 )
 
-    kind = docs.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cid", T.BinaryType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    longs = [T.StructField(name, T.LongType()) for name in ("text_hash", "n", "c1", "c2")]
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *longs, T.StructField("hashes", T.ArrayType(T.LongType()))])
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, schema)
 
 
@@ -102,96 +117,116 @@ def _size_ok(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _enough(common: Column, sizes: Column, percent: int) -> Column:
+    """Whether sets of together ``sizes`` shingles that share ``common`` are linked."""
+    return common * (100 + percent) >= percent * sizes
+
+
 def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(value, cid, n, df, popular) of the rarest retained values that a link can't do without; only values of two classes or more.
+    """(value, k, n, df, popular) of the rarest retained values that a link can't do without; only values of two classes or more.
 
     ``popular`` sums how many classes hold each of a class's retained values: what others were copied from comes first.
     """
-    posts = classes.select("cid", "n", F.explode("hashes").alias("value"))
+    posts = classes.select("k", "n", F.explode("hashes").alias("value"))
     # lists of one class link nothing; the rest is written, so that both sides of the join are plain exchanges that can be split
     counts = cut(posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     kept = F.least(F.col("n"), F.lit(SKETCH))
-    need = F.when(F.col("n") * 100 <= percent * SKETCH, F.ceil(F.col("n") * percent / 100)).otherwise(F.lit(NEED[percent]))
-    shared = posts.join(counts, "value").groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
+    need = F.when(F.col("n") * 100 <= percent * SKETCH, F.ceil(F.col("n") * percent / 100)).otherwise(F.lit(needed(percent)))
+    shared = posts.join(counts, "value").groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
     # values of one class come first in the order of rarity; what is left of the prefix goes to the rarest shared ones
     left = kept - need + 1 - (kept - F.size("v"))
     popular = F.aggregate("v", F.lit(0).cast("long"), lambda acc, x: acc + x["df"]).alias("popular")
-    return shared.where(left > 0).select("cid", "n", popular, F.explode(F.slice("v", 1, left.cast("int"))).alias("x")).select(
-        F.col("x.value").alias("value"), "cid", "n", F.col("x.df").alias("df"), "popular"
+    return shared.where(left > 0).select("k", "n", popular, F.explode(F.slice("v", 1, left.cast("int"))).alias("x")).select(
+        F.col("x.value").alias("value"), "k", "n", F.col("x.df").alias("df"), "popular"
     )
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cid, full) for the classes in ``wanted`` (cid), from the text of one document of each."""
-    reps = cut(classes.join(wanted, "cid", "left_semi").select("rep"))
+    """(k, n, full) for the classes in ``wanted`` (k), from the text of one document of each."""
+    reps = cut(classes.join(wanted, "k", "left_semi").select("rep", "c1", "c2", "k"))
     side = F.broadcast(reps) if reps.count() <= BROADCAST_IDS else reps
-    texts = docs.select("doc_id", "text").join(side, docs["doc_id"].eqNullSafe(side["rep"]), "left_semi")
-    return cut(signatures(texts, words, full=True).select("cid", F.col("hashes").alias("full")))
+    texts = docs.select("doc_id", "text").join(side.select("rep"), docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
+    sets = cut(signatures(texts, words, full=True).join(side.drop("rep"), ["c1", "c2"]).select("k", "n", F.col("hashes").alias("full")))
+    rows, distinct = sets.agg(F.count(F.lit(1)), F.count_distinct("k")).first()
+    return sets if rows == distinct else cut(sets.dropDuplicates(["k"]))  # a row of ``docs`` that repeats
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The pairs (a, b) that are links: the union-sketch estimate rules most others out, the full sets decide."""
+    side = lambda k, what: sets.select(F.col("k").alias(k), what.alias(f"{k}_s"))
+    sketch, full = F.slice("full", 1, SKETCH), F.col("full")
+    both = pairs.join(side("a", sketch), "a").join(side("b", sketch), "b")
+    union = F.slice(F.array_sort(F.array_union("a_s", "b_s")), 1, SKETCH)
+    common = F.size(F.array_intersect(union, F.array_intersect("a_s", "b_s")))
+    # a union no larger than the sketches is known entirely
+    likely = small(both.where(common * SKETCH >= needed(percent) * F.size(union)).select("a", "b"))
+    both = likely.join(side("a", full), "a").join(side("b", full), "b")
+    common = F.size(F.array_intersect("a_s", "b_s"))
+    return small(both.where(_enough(common, F.size("a_s") + F.size("b_s"), percent)).select("a", "b"))
 
 
-def _able(docs: DataFrame, classes: DataFrame, lists: DataFrame, words: int, percent: int) -> DataFrame:
-    """``lists`` (value, cid, n, root) with ``reach``, the most shingles that a class can share with another, less the entries that can't link.
+def _bounded(lists: DataFrame, sets: DataFrame, percent: int, small: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """What can still link of ``lists`` (value, k, n, root, len, least): (entries with their reach, pairs that share rare shingles).
 
-    In lists longer than ``CROWD`` the shingles that no other class of such lists has are
-    counted on the full sets: they are in no intersection there.  A link needs an intersection of
-    ``percent / (100 + percent)`` of both sizes together, so an entry whose reach is too small even
-    for the smallest class of its list goes.  In shorter lists the reach is the size.
+    ``reach`` is the most shingles that a class can share with one that it shares no rare shingle with.  An entry of a
+    long list goes if its reach falls short even for the smallest class that it might link with.
     """
-    long = lists.groupBy("value").count().where(F.col("count") > CROWD).select("value")
-    crowd = cut(lists.join(long, "value"))
-    sets = _full_sets(docs, classes, crowd.select("cid").distinct(), words)
-    own = sets.select("cid", F.explode("full").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.first("cid").alias("cid")).where("k = 1")
-    own = own.groupBy("cid").agg(F.count(F.lit(1)).alias("own"))
-    crowd = cut(crowd.join(own, "cid", "left").select("value", "cid", "n", "root", (F.col("n") - F.coalesce("own", F.lit(0))).alias("reach")))
-    least = crowd.groupBy("value").agg(F.min("n").alias("least"))
-    crowd = crowd.join(least, "value").where(F.col("reach") * (100 + percent) >= percent * (F.col("n") + F.col("least"))).drop("least")
-    return lists.join(long, "value", "left_anti").withColumn("reach", F.col("n")).unionByName(crowd)
-
-
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-
-
-def _estimate(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose union-sketch estimate doesn't rule a link out."""
-    side = lambda k: classes.select(F.col("cid").alias(k), F.col("hashes").alias(f"{k}_h"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    union = F.slice(F.array_sort(F.array_union("a_h", "b_h")), 1, SKETCH)
-    common = F.size(F.array_intersect(union, F.array_intersect("a_h", "b_h")))
-    t = percent / 100
-    floor = t - SLACK * (t * (1 - t) / SKETCH) ** 0.5
-    # a union no larger than the sketches is known entirely
-    return both.where(common >= floor * F.size(union)).select("a", "b")
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are links on their full sets."""
-    side = lambda k: sets.select(F.col("cid").alias(k), F.col("full").alias(f"{k}_f"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect("a_f", "b_f"))
-    return both.where(100 * common >= percent * (F.size("a_f") + F.size("b_f") - common)).select("a", "b").distinct()
+    long = lists.where(F.col("len") > CROWD)
+    crowd = small(long.select("k", "n", "root").distinct())
+    shingles = sets.join(crowd, "k", "left_semi").select("k", F.explode("full").alias("h"))
+    counts = cut(shingles.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= RARE))
+    rare = small(shingles.join(counts, "h"))
+    reach = rare.groupBy("k").agg(F.count(F.lit(1)).alias("rare"))
+    crowd = small(crowd.join(reach, "k", "left").select("k", "n", "root", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("reach")))
+
+    held = rare.where("df > 1").select("h", "k")
+    close = held.withColumnRenamed("k", "a").join(held.withColumnRenamed("k", "b"), "h").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("s"))
+    side = lambda k: crowd.select(*(F.col(c).alias(f"{k}_{c}") for c in crowd.columns)).withColumnRenamed(f"{k}_k", k)
+    close = close.join(side("a"), "a").join(side("b"), "b").where("a_root != b_root")
+    close = close.where(_enough(F.col("s") + F.least("a_reach", "b_reach"), F.col("a_n") + F.col("b_n"), percent) & _size_ok(F.col("a_n"), F.col("b_n"), percent))
+
+    partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    able = long.join(crowd.select("k", "reach"), "k").where(_enough(F.col("reach"), F.col("n") + partner, percent))
+    return lists.where(F.col("len") <= CROWD).withColumn("reach", F.col("n")).unionByName(able), small(close.select("a", "b"))
+
+
+def _pairs(able: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different roots that meet in a list and have the reach; a pair that meets in several lists comes from the first of them only."""
+    of_class = able.groupBy("k").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    able = able.join(of_class, "k").withColumn("salts", F.ceil(F.col("len") / SALT).cast("int"))
+    l = able.withColumn("salt", F.pmod(F.xxhash64("k"), F.col("salts")).cast("int")).alias("l")
+    r = able.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("r")
+    first = F.element_at(F.array_intersect("l.values", "r.values"), 1) == F.col("l.value")
+    sizes = F.col("l.n") + F.col("r.n")
+    return l.join(r, (F.col("l.value") == F.col("r.value")) & (F.col("l.salt") == F.col("r.salt"))).where(
+        (F.col("l.k") < F.col("r.k")) & (F.col("l.root") != F.col("r.root")) & _size_ok(F.col("l.n"), F.col("r.n"), percent)
+        & _enough(F.least("l.reach", "r.reach"), sizes, percent) & first
+    ).select(F.col("l.k").alias("a"), F.col("r.k").alias("b"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(cid, root) of every node of ``edges`` (a, b): the smallest cid that it reaches.
+def components(edges: DataFrame, small: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
+    """(k, root) of every node of ``edges`` (a, b): the smallest node that it reaches.
 
     Alternates large-star and small-star steps (hash-min with path shortening),
-    which takes a logarithmic number of rounds; each round is checkpointed.
+    which takes a logarithmic number of rounds; each round is checkpointed by ``small``.
     """
-    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
+    state = lambda df: df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
+    edges = small(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
+    before = state(edges)
     while True:
         # large star: neighbours above a node go to its smallest neighbour
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = cut(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")))
-        large = cut(both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
+        lowest = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        large = small(both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
         # small star: neighbours below a node, and the node, go to the smallest of them
-        lowest = cut(large.groupBy("a").agg(F.min("b").alias("low")))
+        lowest = large.groupBy("a").agg(F.min("b").alias("low"))
         moved = large.join(lowest, "a").select("b", "a", "low")
-        small = moved.where("b != low").select(F.col("b").alias("a"), F.col("low").alias("b")).union(lowest.select("a", F.col("low").alias("b")))
-        new = cut(small.where("a != b").distinct())
-        if new.count() == edges.count() and new.exceptAll(edges).isEmpty():
-            return new.select(F.col("a").alias("cid"), F.col("b").alias("root")).union(new.select(F.col("b").alias("cid"), F.col("b").alias("root")).distinct())
-        edges = new
+        ends = F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")), F.struct("a", F.col("low").alias("b")))).alias("e")
+        edges = small(moved.select(ends).select("e.a", "e.b").where("a != b").distinct())
+        after = state(edges)
+        if after == before:
+            return edges.select(F.col("a").alias("k"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("k"), F.col("b").alias("root")).distinct())
+        before = after
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
@@ -202,46 +237,43 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
 def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The columns of :func:`near_duplicates` with text_hash (xxhash64 of the text), which tells rows with the same doc_id apart."""
     signed = cut(signatures(docs, words))
+    # numbered where it is written, so all that read it see the same numbers
     classes = cut(
-        signed.where("cid IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("hashes").alias("hashes"))
-    )
+        signed.where("c1 IS NOT NULL").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("hashes").alias("hashes"))
+        .withColumn("k", F.monotonically_increasing_id())
+    )
     posts = cut(_prefixes(classes, percent))
+    tasks = max(1, math.ceil(posts.count() / ROWS))
+
+    def small(df: DataFrame) -> DataFrame:
+        """Written in tasks by the size of the lists: no thousand empty files where few candidates are left."""
+        return cut(df.coalesce(tasks))
 
     # stars: each long list links its members to a few centres, the most popular of each part of the list
     long = posts.where(F.col("df") > STAR)
-    part = F.pmod(F.xxhash64("cid"), F.lit(CENTRES))
-    centres = cut(long.groupBy("value", part.alias("part")).agg(F.max_by(F.struct("cid", "n"), F.struct("popular", "cid")).alias("c")).drop("part"))
-    stars = long.join(centres, "value").where((F.col("cid") != F.col("c.cid")) & _size_ok(F.col("n"), F.col("c.n"), percent))
-    stars = stars.select(F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b")).distinct()
-    likely = cut(_estimate(stars, classes, percent))
-    links = cut(_confirm(likely, _full_sets(docs, classes, _ends(likely), words), percent))
-    joined = cut(components(links))
+    part = F.pmod(F.xxhash64("k"), F.lit(CENTRES))
+    centres = small(long.groupBy("value", part.alias("part")).agg(F.max_by(F.struct("k", "n"), F.struct("popular", "k")).alias("c")).drop("part"))
+    stars = long.join(centres, "value").where((F.col("k") != F.col("c.k")) & _size_ok(F.col("n"), F.col("c.n"), percent))
+    stars = small(stars.select(F.least("k", "c.k").alias("a"), F.greatest("k", "c.k").alias("b")).distinct())
+    sets = _full_sets(docs, classes, long.select("k").distinct(), words)
+    links = _linked(stars, sets, percent, small)
+    joined = components(links, small)
 
     # the rest: all pairs of a list that no star has joined
-    marked = cut(posts.join(joined, "cid", "left").select("value", "cid", "n", F.coalesce("root", "cid").alias("root")))
-    mixed = cut(marked.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("value"))
-    open_lists = cut(marked.join(mixed, "value"))
-    able = cut(_able(docs, classes, open_lists, words, percent))
-    # a pair that meets in several lists counts in the first of them only
-    able = cut(able.join(able.groupBy("cid").agg(F.sort_array(F.collect_list("value")).alias("values")), "cid"))
-    l, r = able.alias("l"), able.alias("r")
-    first = F.element_at(F.array_intersect("l.values", "r.values"), 1) == F.col("l.value")
-    reach = F.least("l.reach", "r.reach")
-    pairs = l.join(r, F.col("l.value") == F.col("r.value")).where(
-        (F.col("l.cid") < F.col("r.cid")) & (F.col("l.root") != F.col("r.root")) & _size_ok(F.col("l.n"), F.col("r.n"), percent)
-        & (reach * (100 + percent) >= percent * (F.col("l.n") + F.col("r.n"))) & first
-    )
-    pairs = pairs.select(F.col("l.cid").alias("a"), F.col("r.cid").alias("b"))
-    likely = cut(_estimate(pairs, classes, percent))
-    more = cut(_confirm(likely, _full_sets(docs, classes, _ends(likely), words), percent))
-    found = components(links.union(more))
-
-    named = found.join(classes.select("cid", "rep"), "cid")
-    smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(smallest, "root").select("cid", "component_id")
-    rep = cut(classes.select("cid", "rep").join(of_class, "cid", "left").select("cid", F.coalesce("component_id", "rep").alias("component_id")))
-    out = signed.select("doc_id", "text_hash", "n", "cid").join(rep, "cid", "left")
-    component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    marked = small(posts.join(joined, "k", "left").select("value", "k", "n", F.coalesce("root", "k").alias("root")))
+    mixed = marked.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("len"), F.min("n").alias("least"))
+    lists = small(marked.join(small(mixed.where("low != high").select("value", "len", "least")), "value"))
+    able, close = _bounded(lists, sets, percent, small)
+    pairs = small(_pairs(small(able), percent).union(close).distinct())
+    ends = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
+    sets = sets.union(_full_sets(docs, classes, ends.join(sets, "k", "left_anti"), words))
+    found = components(links.union(_linked(pairs, sets, percent, small)), small)
+
+    named = found.join(classes.select("k", "rep"), "k")
+    of_class = small(named.join(named.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("k", "component_id"))
+    rep = cut(classes.select("k", "c1", "c2", "rep").join(of_class, "k", "left").select("c1", "c2", F.coalesce("component_id", "rep").alias("component_id")))
+    out = signed.select("doc_id", "text_hash", "n", "c1", "c2").join(rep, ["c1", "c2"], "left")
+    component = F.when(F.col("c1").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
