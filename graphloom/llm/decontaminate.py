@@ -7,9 +7,9 @@ multiplicities over sum of the larger) of ``percent`` or more with it.  A text
 shorter than the item is its own one window.
 
 1. Only places near a shingle that some item has can hold such a window: a
-   membership filter over the shingles of all items finds them.  A similar window
+   join with the shingles of all items finds them.  A similar window
    lacks so few of the item's shingles that trying every few places is enough
-   (:func:`_stride`).  The filter has no false negatives; its rare false positives cost a little work and are refuted later.
+   (:func:`_stride`).
    Neighbouring places are merged into stretches of the document.
 2. Every item-sized window of a stretch that holds a shingle of an item of that
    length gets a 63-bit SimHash, weighted by multiplicity.  The votes
@@ -23,12 +23,14 @@ At similarity 0.8 a pair differs in 9.5 of 63 bits on average (standard deviatio
 2.9), so the radius of 20 loses one such pair in 10,000; more similar
 pairs are safer, equal ones certain.
 
-Everything but the build of the filter is a projection of the documents
-and a join with the table of item blocks: documents are never shuffled.
+An item of fewer than five words has one shingle, all its words in order; a run of
+as many words leaks it if it is equal (:func:`_short_leaks`).
 
-Defined cases: null and wordless texts leak nothing; items with fewer than five
-words have no shingle and can't be leaked (a chance match of a few words says
-nothing); an empty table of either kind leaks nothing; repeated rows are
+Item tables are broadcast while they are small; only keys and places of hits are
+shuffled, and documents only if more than ``BROADCAST_ROWS`` places hit.
+
+Defined cases: null and wordless texts leak nothing and wordless items can't be
+leaked; an empty table of either kind leaks nothing; repeated rows are
 judged alike; extra columns of documents pass through :func:`clean`.
 """
 
@@ -46,9 +48,6 @@ RADIUS = 20
 PERCENT = 80
 #: So many rows of the item tables at most are broadcast (a few hundred bytes each); beyond, Spark joins by a shuffle.
 BROADCAST_ROWS = 200_000
-#: Bits of the membership filter for each shingle of an item, and probes of a shingle.
-FILTER_BITS = 32
-PROBES = 4
 
 _GAP = r"[^\p{L}\p{N}]+"
 
@@ -140,40 +139,35 @@ def _first_agreement(diff: Column) -> Column:
     return found
 
 
-def _probe(h: Column, bits: Column, size: int) -> Column:
-    """Whether all of the filter's bits for ``h`` are set; ``bits`` holds ``size`` longs (a power of two)."""
-    width = size.bit_length() - 1 + 6
-    test = None
-    for p in range(PROBES):
-        spot = F.shiftrightunsigned(h, p * (64 - width) // (PROBES - 1))
-        word = F.get(bits, F.shiftrightunsigned(spot, 6).bitwiseAND(F.lit(size - 1)).cast("int"))
-        # the number of places to shift by is a column here
-        one = F.call_function("shiftrightunsigned", word, spot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
-        test = one if test is None else test & one
-    return test
-
-
-def _filter_bits(hashes: DataFrame, n: int) -> tuple[Column, int]:
-    """The membership filter of ``hashes`` (h): a constant array of longs, made of the words that aren't zero."""
-    size = 1 << max(6, (n * FILTER_BITS // 64 - 1).bit_length())
-    width = size.bit_length() - 1 + 6
-    spots = F.array(*[F.shiftrightunsigned("h", p * (64 - width) // (PROBES - 1)) for p in range(PROBES)])
-    spread = hashes.select(F.explode(spots).alias("s"))
-    word = F.shiftrightunsigned("s", 6).bitwiseAND(F.lit(size - 1))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("s").bitwiseAND(F.lit(63)).cast("int"))
-    rows = spread.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("b")).collect()
-    values = [0] * size
-    for w, b in rows:
-        values[w] = b
-    # a constant that the optimiser folds once
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>"), size
-
-
 def items_of(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, m (number of shingles) and shingles of the items that have any."""
+    """item_id, m (number of shingles), shingles and words of the items that have any words."""
     words = with_words(benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))).select("item_id", "words")
-    found = words.select("item_id", shingles_of(F.col("words")).alias("item_shingles"))
-    return cut(found.withColumn("m", F.size("item_shingles")).where("m > 0"))
+    found = words.where(F.size("words") > 0).withColumn("item_shingles", shingles_of(F.col("words")))
+    return cut(found.withColumn("m", F.size("item_shingles")))
+
+
+def _known(table: DataFrame, rows: int) -> DataFrame:
+    """A side of a join: broadcast behind the check of its size."""
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+
+def _short_leaks(keys: DataFrame, items: DataFrame) -> DataFrame:
+    """Runs of words that equal an item of fewer than ``SHINGLE`` words; the first of each text counts."""
+    short = cut(items.where("m = 0").select("item_id", F.size("words").alias("n"), F.xxhash64("words").alias("h")))
+    lengths = sorted(r.n for r in short.select("n").distinct().collect())  # four at most
+    found = None
+    for n in lengths:
+        words = with_words(keys).where(F.size("words") >= n).select("doc_id", "text_hash", "words")
+        runs = F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda i: F.xxhash64(F.slice("words", i + 1, n)))  # noqa: B023
+        same = short.where(F.col("n") == n)
+        hits = words.select("doc_id", "text_hash", F.posexplode(runs).alias("first_word", "h")).join(_known(same, same.count()), "h")
+        hits = hits.groupBy("doc_id", "text_hash", "item_id").agg(F.min("first_word").alias("first_word"))
+        hits = hits.select("doc_id", "text_hash", "item_id", F.lit(1.0).alias("similarity"), "first_word", F.lit(n).alias("n_words"))
+        found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        item_type = items.schema["item_id"].dataType
+        found = keys.select("doc_id", "text_hash", F.lit(None).cast(item_type).alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("first_word"), F.lit(0).alias("n_words")).limit(0)
+    return found
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -183,24 +177,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
     equally similar windows the first counts.
     """
     items = items_of(benchmark)
-    pairs = cut(items.select("m", F.explode("item_shingles").alias("h")).distinct())
-    stats = pairs.agg(F.count(F.lit(1)), F.max("m")).first()
     keys = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text"))
-    if not stats[0]:
-        return keys.select("doc_id", "text_hash", F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("first_word"), F.lit(0).alias("n_words")).limit(0)
-    n, longest = stats
+    short = _short_leaks(keys, items)
+    items = items.where("m > 0").drop("words")
+    pairs = cut(items.select("m", F.explode("item_shingles").alias("h")).distinct())
+    n, longest = pairs.agg(F.count(F.lit(1)), F.max("m")).first()
+    if not n:
+        return short
     lane = _lane_bits(longest)
     lengths = sorted(r.m for r in items.select("m").distinct().collect())
-    # one filter for "some item has h" and "some item of m shingles has h"
-    of_length = lambda h, m: F.xxhash64(h, m)
-    bits, size = _filter_bits(pairs.select("h").union(pairs.select(of_length(F.col("h"), F.col("m")).alias("h"))), 2 * n)
 
-    # stretches: ``longest`` shingles before and after hits no more than that apart; places count from 1
+    # places of item shingles; places count from 1
     step = _stride(lengths, percent)
-    worded = with_words(keys).select("doc_id", "text_hash", "words")
-    last_place = F.size("words") - SHINGLE + 1
-    tried = F.transform(F.sequence(F.lit(1), F.greatest(last_place, F.lit(1)), F.lit(step)), lambda i: _shingle(F.col("words"), i))
-    hits = F.filter(F.transform(tried, lambda h, i: F.when(_probe(h, bits, size), i * step + 1)), lambda i: i.isNotNull() & (i <= last_place))
+    last_place = F.greatest(F.size("words") - SHINGLE + 1, F.lit(1))
+    tried = F.transform(F.sequence(F.lit(1), last_place, F.lit(step)), lambda i: _shingle(F.col("words"), i))
+    # a text of fewer words has one run, which equals no shingle; a filter here would be pushed down and make the words twice
+    tried = with_words(keys).select("doc_id", "text_hash", F.posexplode(tried).alias("nth", "h"))
+    hits = tried.join(_known(pairs.select("h").distinct(), n), "h", "left_semi").select("doc_id", "text_hash", (F.col("nth") * step + 1).alias("p"))
+    hits = cut(hits.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("p")).alias("hits")))
+    places = hits.agg(F.sum(F.size("hits"))).first()[0] or 0
+    hit = hits.select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash"), "hits")
+    worded = with_words(keys.join(_known(hit, places), F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("text_hash") == F.col("__text_hash"))))
+    worded = worded.select("doc_id", "text_hash", "words", "hits")
+
+    # stretches: ``longest`` shingles before and after hits no more than that apart
     kind = "array<struct<a:int,b:int>>"
 
     def merge(acc: Column, p: Column) -> Column:
@@ -209,7 +209,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
         one = lambda a: F.array(F.struct(a.alias("a"), p.alias("b"))).cast(kind)
         return F.when(apart, F.concat(acc, one(p))).otherwise(F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), one(last["a"])))
 
-    merged = F.aggregate(hits, F.array().cast(kind), merge)
+    merged = F.aggregate("hits", F.array().cast(kind), merge)
     stretches = F.transform(
         merged,
         lambda x: F.struct(
@@ -220,29 +220,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
     # the outer form, as the other one would be pushed down as a filter and evaluate the words twice
     parts = worded.select("doc_id", "text_hash", F.explode_outer(stretches).alias("x")).where("x IS NOT NULL")
     parts = parts.select("doc_id", "text_hash", "x.first", F.col("x.words").alias("words"))
-    parts = parts.select("doc_id", "text_hash", "first", shingles_of(F.col("words")).alias("h"))
+    parts = cut(parts.select("doc_id", "text_hash", "first", shingles_of(F.col("words")).alias("h")).dropDuplicates(["doc_id", "text_hash", "first"]))
 
     # windows of m shingles that hold a shingle of an item of that length; a stretch of fewer than m is a whole text
-    own = F.filter("h", lambda h: _probe(h, bits, size))
-    # through one-element arrays, so that what a lambda uses is made once
-    live = F.flatten(
-        F.transform(
-            F.array(own),
-            lambda found: F.filter(F.array(*[F.lit(m) for m in lengths]), lambda m: (100 * F.size("h") >= percent * m) & F.exists(found, lambda h: _probe(of_length(h, m), bits, size))),
-        )
-    )
-    lives = parts.select("doc_id", "text_hash", "first", "h", F.explode_outer(live).alias("m")).where("m IS NOT NULL")
-    lit = F.transform("h", lambda h: F.when(_probe(of_length(h, F.col("m")), bits, size), 1).otherwise(0))
-    starts = F.flatten(
-        F.transform(F.array(lit), lambda x: F.filter(F.sequence(F.lit(1), F.greatest(F.size("h") - F.col("m") + 1, F.lit(1))), lambda i: F.array_contains(F.slice(x, i, F.col("m")), 1)))
-    )
-    windows = lives.select("doc_id", "text_hash", "first", "h", "m", F.explode_outer(starts).alias("i")).where("i IS NOT NULL")
+    part = ("doc_id", "text_hash", "first")
+    spread = parts.select(*part, F.size("h").alias("size"), F.posexplode("h").alias("i", "h")).join(_known(pairs, n), "h").where(100 * F.col("size") >= percent * F.col("m"))
+    spots = spread.groupBy(*part, "m").agg(F.collect_set(F.col("i") + 1).alias("spots"))
+    spots = spots.select(*(F.col(c).alias(f"__{c}") for c in part), "m", "spots")
+    lives = parts.join(spots, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("text_hash") == F.col("__text_hash")) & (F.col("first") == F.col("__first")))
+    final = F.greatest(F.size("h") - F.col("m") + 1, F.lit(1))
+    starts = F.array_distinct(F.flatten(F.transform("spots", lambda p: F.sequence(F.greatest(p - F.col("m") + 1, F.lit(1)), F.least(p, final)))))
+    windows = lives.select(*part, "h", "m", F.explode(starts).alias("i"))
     windows = windows.select("doc_id", "text_hash", (F.col("first") + F.col("i") - 2).alias("first_word"), "m", F.slice("h", F.col("i"), F.col("m")).alias("w"))
     fingerprinted = windows.withColumns({"fp": simhash(F.col("w"), lane), "counted": numbered(F.col("w"))}).drop("w")
 
     index = items.withColumns({"item_fp": simhash(F.col("item_shingles"), lane), "item_counted": numbered(F.col("item_shingles"))})
     index = cut(index.select("item_id", "m", "item_counted", "item_fp", F.posexplode(_block_values(F.col("item_fp"))).alias("block", "value")))
-    index = F.broadcast(index) if index.count() <= BROADCAST_ROWS else index
+    index = _known(index, index.count())
     blocks = fingerprinted.select("*", F.posexplode_outer(_block_values(F.col("fp"))).alias("block", "value"))
     diff = F.col("fp").bitwiseXOR(F.col("item_fp"))
     near = blocks.join(index, ["m", "block", "value"]).where((F.bit_count(diff) <= RADIUS) & (_first_agreement(diff) == F.col("block")))
@@ -252,15 +246,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
     scored = near.withColumns({"common": common, "n": F.size("counted")})
     either = F.col("m") + F.col("n") - F.col("common")
     scored = scored.where(100 * F.col("common") >= percent * either).withColumn("similarity", F.col("common") / either)
-    best = scored.groupBy("doc_id", "text_hash", "item_id", "n").agg(F.max(F.struct("similarity", (-F.col("first_word")).alias("neg"))).alias("b"))
-    return best.select(
-        "doc_id", "text_hash", "item_id", F.col("b.similarity").alias("similarity"), (-F.col("b.neg")).alias("first_word"), (F.col("n") + SHINGLE - 1).alias("n_words")
+    best = scored.groupBy("doc_id", "text_hash", "item_id").agg(F.max(F.struct("similarity", (-F.col("first_word")).alias("neg"), "n")).alias("b"))
+    best = best.select(
+        "doc_id", "text_hash", "item_id", F.col("b.similarity").alias("similarity"), (-F.col("b.neg")).alias("first_word"), (F.col("b.n") + SHINGLE - 1).alias("n_words")
     )
+    return best.unionByName(short)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that leak an item; columns unchanged."""
     found = cut(leaks(docs, benchmark, percent).select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash")).distinct())
-    bad = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    bad = _known(found, found.count())
     keep = docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__doc_id")) & (F.xxhash64(docs["text"]) == F.col("__text_hash")), "left_anti")
     return keep.select(*docs.columns)
