@@ -1,6 +1,7 @@
 """Mixing sources to target weights.
 
-1. Words of each source are packed into blocks of ``BLOCK`` words.  A source's
+1. Words of each source are packed into blocks of ``BLOCK`` words, or of a ``PARTS``-th of its target
+   if that is less, so that whole blocks come near the target of a small source too.  A source's
    documents are dealt into buckets by hash (about the square root of all rows
    in each), packed in order of doc_id within a bucket, and the
    buckets' blocks are numbered one after the other: no task sees a whole source.
@@ -34,6 +35,8 @@ from graphloom.llm.common import WORD, cut, word_count
 
 BLOCK = 128
 SHARD = 4096
+#: A source's target is this many blocks at least.
+PARTS = 200
 WEIGHTS = (3, 1, 2)
 #: Rows of a table by source that are broadcast at most.
 BROADCAST_SOURCES = 10_000
@@ -44,6 +47,19 @@ def _small(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_SOURCES else frame
 
 
+def _running(frame: DataFrame, key: str, order: str, value: str, out: str, chunk: int = SHARD) -> DataFrame:
+    """``frame`` with ``out``, the sum of ``value`` over the rows of its ``key`` with a smaller ``order`` (whole numbers).
+
+    Sums of ``chunk`` neighbours are added up first, so no task holds all rows of a key.
+    """
+    frame = frame.withColumn("__chunk", F.floor(F.col(order) / chunk))
+    upto = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = frame.groupBy(key, "__chunk").agg(F.sum(value).alias("__sum")).withColumn("__before", F.coalesce(F.sum("__sum").over(upto), F.lit(0)))
+    within = Window.partitionBy(key, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    both = frame.join(chunks.drop("__sum"), [key, "__chunk"])
+    return both.withColumn(out, F.col("__before") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("__chunk", "__before")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeat: float = 2.0) -> DataFrame:
     """``sizes`` (source, size and more) with s (number of the source, from 0), weight and target.
 
@@ -87,7 +103,7 @@ def _permuted(x: Column, n: Column, side: Column, *key: Column) -> Column:
 
 
 class Mix:
-    """The plan of one mix over ``docs`` (doc_id, text, source)."""
+    """The plan of one mix over ``docs`` (doc_id, text, source); ``block`` is the most words of a block."""
 
     def __init__(self, docs: DataFrame, block: int = BLOCK, shard: int = SHARD, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeat: float = 2.0):
         self.docs, self.block, self.shard, self.repeat = docs, block, shard, repeat
@@ -96,22 +112,25 @@ class Mix:
         self.n_rows = by_source.agg(F.sum("n_rows")).first()[0] or 0
         self.sources = cut(targets(by_source, weights, share, repeat))
         self.placed = self._place(sized)
-        ends = self.placed.groupBy("s", "bucket").agg(F.max(F.col("off") + F.col("size")).alias("words"))
-        before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        ends = ends.withColumn("n", F.ceil(F.col("words") / block).cast("long"))
-        #: (s, bucket, words, n, first block)
-        self.buckets = cut(ends.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))))
+        ends = self.placed.groupBy("s", "bucket", "block").agg(F.max(F.col("off") + F.col("size")).alias("words"))
+        ends = ends.withColumn("n", F.ceil(F.col("words") / F.col("block")).cast("long"))
+        #: (s, bucket, block, words, n, first block)
+        self.buckets = cut(_running(ends, "s", "bucket", "n", "first"))
         self.slots = self._slots()
 
+    def _length(self) -> Column:
+        """Words in a block of a source, from its target."""
+        return F.greatest(F.lit(1), F.least(F.lit(self.block), F.floor(F.col("target") / PARTS))).cast("int")
+
     def _key(self, frame: DataFrame) -> DataFrame:
-        """``frame`` with s, source_size, target and bucket."""
+        """``frame`` with s, source_size, target, block and bucket."""
         wide = max(1, int(self.n_rows**0.5))
-        known = self.sources.select(F.col("source").alias("__source"), "s", F.col("size").alias("source_size"), "target", F.ceil(F.col("n_rows") / wide).alias("n_buckets"))
+        known = self.sources.select(F.col("source").alias("__source"), "s", F.col("size").alias("source_size"), "target", self._length().alias("block"), F.ceil(F.col("n_rows") / wide).alias("n_buckets"))
         found = frame.join(_small(known), frame["source"].eqNullSafe(F.col("__source")))
         return found.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "tie", F.lit(SEED)), "n_buckets").cast("int")).drop("__source", "n_buckets")
 
     def _place(self, sized: DataFrame) -> DataFrame:
-        """doc_id, s, bucket, row (number in the bucket), off (words before it), size, source_size, target."""
+        """doc_id, s, bucket, row (number in the bucket), off (words before it), size, source_size, target, block."""
         order = Window.partitionBy("s", "bucket").orderBy("doc_id", "tie", "size")
         off = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         return cut(self._key(sized).withColumns({"row": F.row_number().over(order), "off": off}).drop("source"))
@@ -126,18 +145,20 @@ class Mix:
         total = quotas.agg(F.sum("quota")).first()[0] or 0
         n_shards = -(-total // self.shard)
         spark = self.docs.sparkSession
-        # the law of a slot's source: one row, an entry for each source
-        law = quotas.withColumn("upto", F.sum("quota").over(Window.orderBy("s")) / max(1, total)).agg(F.array_sort(F.collect_list(F.struct("upto", "s"))).alias("law"))
-        law = law.withColumn("one", F.lit(1))
-        shards = spark.range(n_shards).select(F.col("id").alias("shard"), (F.col("id") * 0 + 1).cast("int").alias("one"))
-        shards = shards.withColumn("slots", F.least(F.lit(self.shard), F.lit(total) - F.col("shard") * self.shard))
-        drawn = shards.join(F.broadcast(law), "one").select("shard", "law", F.explode(F.sequence(F.lit(1).cast("long"), F.col("slots"))).alias("k"))
-        u = F.pmod(F.xxhash64("shard", "k", F.lit(SEED)), F.lit(1 << 53)) / float(1 << 53)
-        drawn = drawn.withColumn("u", u).select("shard", F.element_at(F.filter("law", lambda x: x["upto"] > F.col("u")), 1)["s"].alias("s"))
+        # the law of a slot's source: the unit interval in parts, looked up by the cells that they reach into
+        upto = F.sum("quota").over(Window.orderBy("s")) / max(1, total)
+        law = quotas.select("s", upto.alias("upto")).withColumn("above", F.coalesce(F.lag("upto").over(Window.orderBy("s")), F.lit(0.0)))
+        cells = max(1, quotas.count())
+        reach = F.sequence(F.floor(F.col("above") * cells), F.least(F.floor(F.col("upto") * cells), F.lit(cells - 1)))
+        law = cut(law.where("upto > above").withColumn("cell", F.explode(reach)))
+        shards = spark.range(n_shards).select(F.col("id").alias("shard"))
+        slots = F.least(F.lit(self.shard).cast("long"), F.lit(total) - F.col("shard") * self.shard)
+        drawn = shards.select("shard", F.explode(F.sequence(F.lit(1).cast("long"), slots)).alias("k"))
+        drawn = drawn.withColumn("u", F.pmod(F.xxhash64("shard", "k", F.lit(SEED)), F.lit(1 << 53)) / float(1 << 53))
+        drawn = drawn.withColumn("cell", F.floor(F.col("u") * cells)).join(_small(law), "cell").where("u >= above AND u < upto")
         counts = cut(drawn.groupBy("shard", "s").count())
-        start = F.coalesce(F.sum("count").over(Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         small = _small(quotas.withColumn("side", F.ceil(F.sqrt(F.col("n"))).cast("long")))
-        runs = counts.withColumn("start", start).join(small, "s")
+        runs = _running(counts, "s", "shard", "count", "start").join(small, "s")
         runs = runs.withColumn("end", F.least(F.col("start") + F.col("count"), "quota")).where("end > start")
         own = runs.select("s", "n", "side", "shard", F.explode(F.sequence("start", F.col("end") - 1)).alias("j"))
         # what the draw left short goes to shards by hash
@@ -153,10 +174,10 @@ class Mix:
     def _pieces(self, placed: DataFrame) -> DataFrame:
         """``placed`` with a row for each block that a document reaches: number, and the words [a, b) of the document."""
         first = self.buckets.select("s", "bucket", "first")
-        low, high = F.floor(F.col("off") / self.block), F.floor((F.col("off") + F.col("size") - 1) / self.block)
+        low, high = F.floor(F.col("off") / F.col("block")), F.floor((F.col("off") + F.col("size") - 1) / F.col("block"))
         cut_up = placed.where("size > 0").join(first, ["s", "bucket"]).withColumn("local", F.explode(F.sequence(low, high)))
-        a = F.greatest(F.col("local") * self.block - F.col("off"), F.lit(0))
-        b = F.least((F.col("local") + 1) * self.block - F.col("off"), "size")
+        a = F.greatest(F.col("local") * F.col("block") - F.col("off"), F.lit(0))
+        b = F.least((F.col("local") + 1) * F.col("block") - F.col("off"), "size")
         return cut_up.withColumns({"number": F.col("first") + F.col("local"), "a": a, "b": b})
 
     def taken(self) -> DataFrame:
