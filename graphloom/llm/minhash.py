@@ -9,14 +9,14 @@ the ``SKETCH`` smallest are its bottom-k sketch.
    class looks only at its ``size - need + 1`` *rarest* retained values: passages that many
    documents share seldom are among them.  This is certain for sets not much larger than the sketch;
    of other pairs exactly at the threshold fewer than one in 10^8 is lost.
-3. Long lists are first linked as stars: the centres are the classes whose values
-   most others share, as the original of many copies is.  Classes that confirmed
+3. Long lists are first linked as stars: centres are the classes with the smallest
+   part of rare shingles (held by at most ``RARE`` classes of long lists), as the original of many copies is, and some by hash, which tie the stars together.  Classes that confirmed
    stars have joined aren't compared again, so a large
    group of near copies costs a few links each and no quadratic number of pairs.
-4. In long lists that are still open an exact bound on the full sets says which classes can link at all.
-   A shingle is rare if at most ``RARE`` classes of such lists hold it.  Pairs that share rare shingles
-   are listed by them, at most ``RARE`` for each; all other pairs share only what isn't rare
-   (the *reach* of a class), so they need a reach as large as a link's intersection (:func:`_bounded`).
+4. In long lists that are still open the full sets decide which entries are compared how (:func:`_bounded`).
+   A class that lacks one of its ``n - need + 1`` rarest shingles in common with another can't be linked with it, so if these are
+   rare, they alone list its partners.
+   Only entries whose rarest shingles are common are compared with each other along the list.
 5. The remaining pairs pass the union-sketch estimate and are confirmed on the full sets.
 6. Confirmed links are closed into components.
 
@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from graphloom.llm.common import cut
 from graphloom.llm.shingles import shingle_set, word_hashes
@@ -49,12 +50,12 @@ SKETCH = 64
 SLACK = 7.5
 #: Lists longer than this are linked as stars first.
 STAR = 24
-#: Centres of a long list.
-CENTRES = 3
+#: Parts of a long list that have centres of their own.
+PARTS = 2
 #: Lists longer than this, after the stars, are thinned by what a class can share at all.
 CROWD = 32
 #: A shingle of at most so many classes of long lists is rare there.
-RARE = 16
+RARE = 256
 #: Entries of a list that one task pairs with the whole list.
 SALT = 1000
 #: So many candidate ids at most (24 bytes each) are broadcast; more are joined by a shuffle.
@@ -123,10 +124,7 @@ def _enough(common: Column, sizes: Column, percent: int) -> Column:
 
 
 def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(value, k, n, df, popular) of the rarest retained values that a link can't do without; only values of two classes or more.
-
-    ``popular`` sums how many classes hold each of a class's retained values: what others were copied from comes first.
-    """
+    """(value, k, n, df) of the rarest retained values that a link can't do without; only values of two classes or more."""
     posts = classes.select("k", "n", F.explode("hashes").alias("value"))
     # lists of one class link nothing; the rest is written, so that both sides of the join are plain exchanges that can be split
     counts = cut(posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
@@ -135,10 +133,7 @@ def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
     shared = posts.join(counts, "value").groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"))
     # values of one class come first in the order of rarity; what is left of the prefix goes to the rarest shared ones
     left = kept - need + 1 - (kept - F.size("v"))
-    popular = F.aggregate("v", F.lit(0).cast("long"), lambda acc, x: acc + x["df"]).alias("popular")
-    return shared.where(left > 0).select("k", "n", popular, F.explode(F.slice("v", 1, left.cast("int"))).alias("x")).select(
-        F.col("x.value").alias("value"), "k", "n", F.col("x.df").alias("df"), "popular"
-    )
+    return shared.where(left > 0).select("k", "n", F.explode(F.slice("v", 1, left.cast("int"))).alias("x")).select(F.col("x.value").alias("value"), "k", "n", F.col("x.df").alias("df"))
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -165,29 +160,38 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int, small: Callable[[Da
     return small(both.where(_enough(common, F.size("a_s") + F.size("b_s"), percent)).select("a", "b"))
 
 
-def _bounded(lists: DataFrame, sets: DataFrame, percent: int, small: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """What can still link of ``lists`` (value, k, n, root, len, least): (entries with their reach, pairs that share rare shingles).
-
-    ``reach`` is the most shingles that a class can share with one that it shares no rare shingle with.  An entry of a
-    long list goes if its reach falls short even for the smallest class that it might link with.
-    """
-    long = lists.where(F.col("len") > CROWD)
-    crowd = small(long.select("k", "n", "root").distinct())
-    shingles = sets.join(crowd, "k", "left_semi").select("k", F.explode("full").alias("h"))
+def _rare(sets: DataFrame, small: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The rare shingles (k, h, df) of ``sets``, and k, n, reach of each: how many of its n shingles aren't rare."""
+    shingles = sets.select("k", F.explode("full").alias("h"))
     counts = cut(shingles.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= RARE))
     rare = small(shingles.join(counts, "h"))
-    reach = rare.groupBy("k").agg(F.count(F.lit(1)).alias("rare"))
-    crowd = small(crowd.join(reach, "k", "left").select("k", "n", "root", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("reach")))
+    of_class = rare.groupBy("k").agg(F.count(F.lit(1)).alias("rare"))
+    return rare, small(sets.select("k", "n").join(of_class, "k", "left").select("k", "n", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("reach")))
 
-    held = rare.where("df > 1").select("h", "k")
-    close = held.withColumnRenamed("k", "a").join(held.withColumnRenamed("k", "b"), "h").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("s"))
-    side = lambda k: crowd.select(*(F.col(c).alias(f"{k}_{c}") for c in crowd.columns)).withColumnRenamed(f"{k}_k", k)
-    close = close.join(side("a"), "a").join(side("b"), "b").where("a_root != b_root")
-    close = close.where(_enough(F.col("s") + F.least("a_reach", "b_reach"), F.col("a_n") + F.col("b_n"), percent) & _size_ok(F.col("a_n"), F.col("b_n"), percent))
 
+def _bounded(lists: DataFrame, rare: DataFrame, reach: DataFrame, percent: int, small: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """What can still link of ``lists`` (value, k, n, root, len, least): (entries to compare along their lists with their reach, pairs found otherwise).
+
+    An entry of a long list that would need more than its reach in common,
+    even with the smallest class that it might link with, shares one of its ``prefix`` rarest shingles, which are all rare, with
+    every partner from that list: such pairs are found by these shingles.
+    """
+    long = lists.where(F.col("len") > CROWD)
     partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
-    able = long.join(crowd.select("k", "reach"), "k").where(_enough(F.col("reach"), F.col("n") + partner, percent))
-    return lists.where(F.col("len") <= CROWD).withColumn("reach", F.col("n")).unionByName(able), small(close.select("a", "b"))
+    need = F.ceil((F.col("n") + partner) * percent / (100 + percent))
+    entries = small(long.join(reach.select("k", "reach"), "k").withColumn("need", need))
+    prefix = entries.where("reach < need").groupBy("k").agg(F.max(F.col("n") - F.col("need") + 1).alias("prefix"))
+    ranked = rare.join(prefix, "k").withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy("df", "h")))
+    listed = ranked.where((F.col("rank") <= F.col("prefix")) & (F.col("df") > 1)).select("h", F.col("k").alias("a"), "prefix")
+    holders = rare.where("df > 1").select("h", F.col("k").alias("b"))
+    close = listed.join(holders, "h").where("a != b").groupBy("a", "b", "prefix").agg(F.count(F.lit(1)).alias("s"))
+    known = long.select("k", "n", "root").distinct()
+    side = lambda k: known.select(F.col("k").alias(k), F.col("n").alias(f"{k}_n"), F.col("root").alias(f"{k}_root"))
+    close = close.join(side("a"), "a").join(side("b"), "b").where((F.col("a_root") != F.col("b_root")) & _size_ok(F.col("a_n"), F.col("b_n"), percent))
+    close = close.where(_enough(F.col("a_n") - F.col("prefix") + F.col("s"), F.col("a_n") + F.col("b_n"), percent))
+    close = small(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    able = entries.where("reach >= need").drop("need")
+    return lists.where(F.col("len") <= CROWD).withColumn("reach", F.col("n")).unionByName(able), close
 
 
 def _pairs(able: DataFrame, percent: int) -> DataFrame:
@@ -249,13 +253,16 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
         """Written in tasks by the size of the lists: no thousand empty files where few candidates are left."""
         return cut(df.coalesce(tasks))
 
-    # stars: each long list links its members to a few centres, the most popular of each part of the list
+    # stars: each part of a long list has two centres, the class with the least of its own and one by a hash that is the same in all lists
     long = posts.where(F.col("df") > STAR)
-    part = F.pmod(F.xxhash64("k"), F.lit(CENTRES))
-    centres = small(long.groupBy("value", part.alias("part")).agg(F.max_by(F.struct("k", "n"), F.struct("popular", "k")).alias("c")).drop("part"))
+    sets = _full_sets(docs, classes, long.select("k").distinct(), words)
+    rare, reach = _rare(sets, small)
+    part, self_ = F.pmod(F.xxhash64("k"), F.lit(PARTS)), F.struct("k", "n")
+    ranked = long.join(reach.select("k", (F.col("reach") / F.col("n")).alias("shared")), "k")
+    centres = ranked.groupBy("value", part.alias("part")).agg(F.max_by(self_, F.struct("shared", "k")).alias("c"), F.max_by(self_, F.xxhash64("k", F.lit(1))).alias("d"))
+    centres = small(centres.select("value", F.explode(F.array("c", "d")).alias("c")))
     stars = long.join(centres, "value").where((F.col("k") != F.col("c.k")) & _size_ok(F.col("n"), F.col("c.n"), percent))
     stars = small(stars.select(F.least("k", "c.k").alias("a"), F.greatest("k", "c.k").alias("b")).distinct())
-    sets = _full_sets(docs, classes, long.select("k").distinct(), words)
     links = _linked(stars, sets, percent, small)
     joined = components(links, small)
 
@@ -263,7 +270,7 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     marked = small(posts.join(joined, "k", "left").select("value", "k", "n", F.coalesce("root", "k").alias("root")))
     mixed = marked.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("len"), F.min("n").alias("least"))
     lists = small(marked.join(small(mixed.where("low != high").select("value", "len", "least")), "value"))
-    able, close = _bounded(lists, sets, percent, small)
+    able, close = _bounded(lists, rare, reach, percent, small)
     pairs = small(_pairs(small(able), percent).union(close).distinct())
     ends = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
     sets = sets.union(_full_sets(docs, classes, ends.join(sets, "k", "left_anti"), words))
