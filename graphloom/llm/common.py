@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; only where it is unset (tests) make a folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; only where it is unset and Spark runs in one process (tests) make a folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="graphloom-ckpt-"))
 
 
@@ -33,11 +36,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scattered(df: DataFrame, key: str) -> DataFrame:
-    """``df`` with at least one partition per core, for a source read as fewer splits."""
-    return df
-
-
 def word_count(text: Column) -> Column:
     """Number of words (``WORD``) in ``text``; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
@@ -59,3 +57,63 @@ def splits_of(text: Column, pattern: str) -> tuple[Column, Column]:
     matches, so their lengths give every match position without a UDF.
     """
     return F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it (also inside lambdas)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """``values`` (whole numbers) combined up to and with each place: ends from lengths, or the largest so far.
+
+    ``combine`` is associative with 0 as its identity on the values.  Parts of about the square
+    root of all are combined first, so the arrays that grow stay short: n ** 1.5 steps and not n ** 2.
+    """
+    kind = "array<int>"
+    state = lambda total, out: F.struct(total.cast("int").alias("t"), out.cast(kind).alias("out"))
+
+    def whole(x: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(x))), F.lit(1)).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), F.ceil(F.size(x) / width).cast("int")), lambda j: F.slice(x, j * width + 1, width))
+        within = lambda p: F.aggregate(
+            p, state(F.lit(0), F.array()), lambda acc, v: state(combine(acc["t"], v), F.concat(acc["out"], F.array(combine(acc["t"], v).cast("int")))), lambda acc: acc["out"]
+        )
+        return F.aggregate(
+            F.transform(parts, within),
+            state(F.lit(0), F.array()),
+            lambda acc, p: state(F.when(F.size(p) > 0, combine(acc["t"], F.element_at(p, -1))).otherwise(acc["t"]), F.concat(acc["out"], F.transform(p, lambda v: combine(acc["t"], v).cast("int")))),
+            lambda acc: acc["out"],
+        )
+
+    return bound(values, whole)
+
+
+#: Code points of a segment, as a power of two.
+_SEGMENT = 10
+
+
+def segments(text: Column) -> Column:
+    """``text`` in runs of 1,024 code points, so that :func:`piece` needn't walk from its start."""
+    return F.regexp_extract_all(text, F.lit(r"(?s).{1,1024}"), F.lit(0))
+
+
+def piece(parts: Column, a: Column, b: Column) -> Column:
+    """Code points [a, b) of the text that :func:`segments` cut."""
+    first = F.shiftright(a, _SEGMENT)
+    joined = F.array_join(F.slice(parts, first + 1, F.shiftright(b, _SEGMENT) - first + 1), "")
+    return F.substring(joined, a - F.shiftleft(first, _SEGMENT) + 1, F.greatest(b - a, F.lit(0)))
+
+
+def match_ends(gaps: Column, matches: Column) -> Column:
+    """Code-point end of each gap and each match, alternating: match ``i`` (from 0) is [ends[2i], ends[2i + 1])."""
+    lengths = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.array(F.length(g), F.length(m)))
+    return running(F.flatten(lengths), lambda x, y: x + y)
+
+
+def reserved(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until it clashes with none of ``columns`` (Spark compares without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

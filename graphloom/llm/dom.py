@@ -5,10 +5,13 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from functools import lru_cache
 
 # fixed values: element names by their role in HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: void elements that stand within a line or show nothing
+UNBROKEN = VOID - {"br", "hr"}
 SKIPPED = frozenset("script style noscript template head title svg math iframe object audio video canvas textarea select".split())
 RAW = frozenset("script style title textarea noscript iframe".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strong sub sup time tt u var big".split())
@@ -77,9 +80,21 @@ class Page:
         links = skipping = 0
         at, pieces, unescape = 0, self.pieces, html.unescape
         n = len(source)
+        last = source.rfind(">") + 1  # no tag ends after it, so none is looked for there
+        opened: Counter[str] = Counter()  # of each tag in the stack, so that an end tag without its element costs nothing
+
+        def close(i: int) -> tuple[int, int]:
+            gone = [closed for closed, _ in stack[i:]]
+            opened.subtract(gone)
+            del stack[i:]
+            return gone.count("a"), sum(closed in SKIPPED for closed in gone)
+
         while at < n:
-            m = _TOKEN.search(source, at)
-            text = source[at : m.start() if m else n]
+            m = _TOKEN.search(source, at, last) if at < last else None
+            if m is None and (comment := source.find("<!--", at)) >= 0 or m and m[0].startswith("<!--") and not m[0].endswith("-->"):
+                text, m, n = source[at : m.start() if m else comment], None, 0  # never closed: it takes the rest
+            else:
+                text = source[at : m.start() if m else n]
             if text and not skipping:
                 pieces.append((stack[-1][1], unescape(text) if "&" in text else text, links > 0))
             if not m:
@@ -89,33 +104,28 @@ class Page:
                 continue
             tag = m[2].lower()
             if m[1]:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        for closed, _ in stack[i:]:
-                            links -= closed == "a"
-                            skipping -= closed in SKIPPED
-                        del stack[i:]
-                        break
-                if tag not in INLINE:
+                if opened[tag] > 0:
+                    i = next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag)
+                    fewer_links, fewer_skipped = close(i)
+                    links, skipping = links - fewer_links, skipping - fewer_skipped
+                if tag not in INLINE and tag not in UNBROKEN:
                     pieces.append((-1, " ", False))
                 continue
             if tag in ("html", "body") and not skipping:
                 continue
             if skipping and tag == "body":  # a head that was never closed
-                del stack[1:]
+                close(1)
                 links = skipping = 0
                 continue
-            if tag not in INLINE:
+            if tag not in INLINE and tag not in UNBROKEN:
                 pieces.append((-1, " ", False))
             if tag in VOID:
                 continue
             if tag in CLOSES_P or tag in CLOSES:
                 closing, scope = CLOSES.get(tag, (frozenset(("p",)), frozenset(("td", "th", "li", "button", "table"))))
-                for i in range(len(stack) - 1, 0, -1):
+                for i in range(len(stack) - 1, 0, -1) if any(opened[c] > 0 for c in closing) else ():
                     if stack[i][0] in closing:
-                        for closed, _ in stack[i:]:
-                            links -= closed == "a"
-                        del stack[i:]
+                        links -= close(i)[0]
                         break
                     if stack[i][0] in scope:
                         break
@@ -131,13 +141,13 @@ class Page:
                 self.groups.append(groups)
                 self.attributes.append(m[3])
             stack.append((tag, node))
+            opened[tag] += 1
             links += tag == "a"
             skipping += tag in SKIPPED
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 at = end.end() if end else n
-                stack.pop()
-                skipping -= tag in SKIPPED
+                skipping -= close(len(stack) - 1)[1]
 
     def features(self) -> list[list[float]]:
         """One row for each node: its tag, naming attributes (own and inherited), subtree densities, depth and sibling statistics."""

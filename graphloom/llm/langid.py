@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.llm.common import held_out
+from graphloom.llm.common import reserved, held_out
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -171,24 +171,28 @@ def _scores(model: ByteCNN, texts: list[np.ndarray]) -> tuple[list[str], list[fl
     return names, scores
 
 
-def identify(docs: DataFrame, model: ByteCNN | None = None) -> DataFrame:
-    """``docs`` (any columns, with doc_id, text and lang) with lang_pred and score; fits a network unless given one."""
+def identify(docs: DataFrame, model: ByteCNN | None = None, lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` (any columns, with doc_id, text and lang) with the columns ``lang_pred`` and ``score``; fits a network unless given one.
+
+    Columns of ``docs`` that have these two names are replaced.
+    """
     model = model or fit(docs)
-    columns = [f for f in docs.schema if f.name not in ("lang_pred", "score")]
-    schema = T.StructType([*columns, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), ])
+    columns = [f for f in docs.schema if f.name.lower() not in (lang_pred.lower(), score.lower())]
+    schema = T.StructType([*columns, T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())])
+    letters = reserved(docs.columns, "__letters")
     names = [f.name for f in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = batch.column("__letters").to_pylist()
+            ok = batch.column(letters).to_pylist()
             empty = np.zeros(0, np.uint8)
             texts = [np.frombuffer(t.as_buffer(), np.uint8) if good and model is not None else empty for t, good in zip(batch.column("text"), ok, strict=True)]
             langs, scores = _scores(model, texts) if model is not None else ([UNKNOWN] * len(ok), [0.0] * len(ok))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"]
+                [*[batch.column(n) for n in names], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, lang_pred, score]
             )
 
-    marked = docs.select(*names, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
+    marked = docs.select(*(f"`{n}`" for n in names), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(letters))
     return marked.mapInArrow(run, schema)
 
 
@@ -201,5 +205,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """The documents whose language is known (not ``und``, score >= ``least``); columns unchanged."""
-    return identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    """The documents whose language is known (not ``und``, score >= ``least``); all columns unchanged, whatever their names."""
+    pred = reserved(docs.columns, "__lang_pred")
+    score = reserved(docs.columns, "__lang_score")
+    return identify(docs, None, pred, score).where((F.col(pred) != UNKNOWN) & (F.col(score) >= least)).select(*(f"`{c}`" for c in docs.columns))

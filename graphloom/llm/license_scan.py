@@ -19,6 +19,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.llm.common import bound, match_ends, running
 from graphloom.llm.license_rules import RULES
 
 #: Word characters after A-Z are lowered: digits, letters, everything beyond ASCII.
@@ -52,13 +53,8 @@ def _starts(text: Column, words: tuple[str, ...]) -> Column:
     """Word indices at which a phrase starts.  A phrase of distinct words can't overlap itself."""
     gaps = F.split(text, _phrase(words), -1)
     counted = F.transform(gaps, lambda g: F.regexp_count(g, F.lit(WORDS)))
-    zero = F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("out"))
-    walked = F.aggregate(
-        F.slice(counted, 1, F.size(counted) - 1),
-        zero,
-        lambda acc, n: F.struct((acc["pos"] + n + len(words)).alias("pos"), F.concat(acc["out"], F.array(acc["pos"] + n)).alias("out")),
-        lambda acc: acc["out"],
-    )
+    ends = running(F.transform(F.slice(counted, 1, F.size(counted) - 1), lambda n: n + len(words)), lambda x, y: x + y)
+    walked = F.transform(ends, lambda e: e - len(words))
     gate = rf"(?i){words[0]}{_NOT_W}++{words[1]}"
     return F.when(text.rlike(gate), walked).otherwise(F.array().cast("array<int>"))
 
@@ -86,16 +82,11 @@ def _detections(text: Column) -> Column:
     def spans(rule: Column) -> Column:
         gaps = F.split(text, rule["regex"], -1)
         matches = F.regexp_extract_all(text, rule["regex"], F.lit(0))
-
-        def walk(acc: Column, x: Column) -> Column:
-            start = acc["pos"] + F.length(x["g"])
-            end = start + F.length(x["m"])
-            one = F.struct(rule["rule"].alias("rule"), rule["label"].alias("label"), start.alias("start"), end.alias("end"), rule["confidence"].alias("confidence"))
-            return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(one).cast(_SPAN)).alias("out"))
-
-        pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-        zero = F.struct(F.lit(0).alias("pos"), F.array().cast(_SPAN).alias("out"))
-        return F.aggregate(pairs, zero, walk, lambda acc: acc["out"])
+        one = lambda i, ends: F.struct(
+            rule["rule"].alias("rule"), rule["label"].alias("label"), F.get(ends, 2 * i).alias("start"), F.get(ends, 2 * i + 1).alias("end"), rule["confidence"].alias("confidence")
+        )
+        spots = lambda ends: F.transform(F.filter(ends, lambda _, i: i % 2 == 0), lambda _, i: one(i, ends)).cast(_SPAN)
+        return bound(match_ends(gaps, matches), spots)
 
     # through a one-element array, so that the folded text is made once and not once a rule
     tried = F.flatten(F.transform(F.array(folded), lambda f: F.filter(_rules_literal(), lambda r: F.contains(f, r["keyword"]))))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import splits_of
+from graphloom.llm.common import bound, match_ends, piece, reserved, running, segments, splits_of
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
@@ -78,6 +78,14 @@ def _mod97(iban: Column) -> Column:
     return F.aggregate(F.split(s, "(?<=.)(?=.)"), F.lit(0), step) == 1
 
 
+def _iban(m: Column) -> Column:
+    """The longest part of ``m`` from its start to a blank or its end that is an IBAN, else null."""
+    ends = F.filter(F.sequence(F.length(m), F.lit(15)), lambda n: (n == F.length(m)) | (F.substring(m, n + 1, F.lit(1)) == " "))
+    tried = F.transform(ends, lambda n: F.substring(m, F.lit(1), n))
+    bare = lambda p: F.replace(p, F.lit(" "), F.lit(""))
+    return F.get(F.filter(tried, lambda p: F.length(bare(p)).between(15, 34) & ~p.endswith(" ") & _mod97(bare(p))), F.lit(0))
+
+
 def _valid(kind: str, m: Column) -> Column:
     digits = F.regexp_replace(m, "[^0-9]", "")
     if kind == "ip":
@@ -87,13 +95,17 @@ def _valid(kind: str, m: Column) -> Column:
     if kind == "phone":
         return F.length(digits).between(8, 15)
     if kind == "iban":
-        bare = F.replace(m, F.lit(" "), F.lit(""))
-        return F.length(bare).between(15, 34) & _mod97(bare)
+        return _iban(m).isNotNull()
     if kind == "ssn":
         return ~m.rlike("^(?:000|666|9..)|-00-|-0000$")
     return F.lit(True)
 
 
+def _length(kind: str, m: Column) -> Column:
+    """Code points of a confirmed match: an IBAN ends where its check does."""
+    return F.length(_iban(m)) if kind == "iban" else F.length(m)
+
+
 _PATTERN = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "iban": IBAN, "ssn": SSN, "secret": SECRET}
 #: Linear tests without which a kind can't match.
 _GATE = {
@@ -111,34 +123,28 @@ _SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
 def _spans(text: Column, kind: str) -> Column:
     gaps, matches = splits_of(text, _PATTERN[kind])
 
-    def walk(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.length(x["g"])
-        end = start + F.length(x["m"])
-        before = F.substring(text, F.greatest(F.lit(1), start + 1 - CONTEXT), F.least(start, F.lit(CONTEXT)))
-        after = F.substring(text, end + 1, F.lit(CONTEXT))
-        near = F.concat(before, F.lit(" "), after).rlike(CONTEXT_WORDS[kind])
-        if kind == "secret":
-            near = F.lit(True)
-        score = F.least(F.lit(1.0), F.lit(PRIOR[kind]) + F.when(near, F.lit(BONUS)).otherwise(F.lit(0.0)))
-        keep = _valid(kind, x["m"])
-        if kind not in BASE_KINDS:
-            keep = keep & (score >= THRESHOLD)
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
-        return F.struct(
-            end.alias("pos"),
-            F.when(keep, F.concat(acc["out"], F.array(span).cast(_SPAN))).otherwise(acc["out"]).alias("out"),
-        )
+    def found(x: Column) -> Column:
+        def span(m: Column, i: Column) -> Column:
+            start, end = F.get(x["ends"], 2 * i), F.get(x["ends"], 2 * i + 1)
+            near = F.concat(piece(x["parts"], F.greatest(F.lit(0), start - CONTEXT), start), F.lit(" "), piece(x["parts"], end, end + CONTEXT))
+            bonus = F.lit(BONUS) if kind == "secret" else F.when(near.rlike(CONTEXT_WORDS[kind]), F.lit(BONUS)).otherwise(F.lit(0.0))
+            score = F.least(F.lit(1.0), F.lit(PRIOR[kind]) + bonus)
+            return F.when(_valid(kind, m), F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + _length(kind, m)).alias("end"), score.alias("score")))
+
+        least = 0.0 if kind in BASE_KINDS else THRESHOLD
+        return F.filter(F.transform(x["matches"], span), lambda s: s.isNotNull() & (s["score"] >= least)).cast(_SPAN)
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    zero = F.struct(F.lit(0).alias("pos"), F.array().cast(_SPAN).alias("out"))
-    found = F.aggregate(pairs, zero, walk, lambda acc: acc["out"])
-    return F.when(_GATE[kind](text), found).otherwise(F.array().cast(_SPAN))
+    whole = F.struct(segments(text).alias("parts"), matches.alias("matches"), match_ends(gaps, matches).alias("ends"))
+    return F.when(_GATE[kind](text), bound(whole, found)).otherwise(F.array().cast(_SPAN))
 
 
-def detect(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``pii_<kind>`` per kind: arrays of (kind, start, end, score), offsets in code points, end exclusive."""
+def detect(docs: DataFrame, text: str = "text", prefix: str = "pii_") -> DataFrame:
+    """``docs`` with ``<prefix><kind>`` per kind: arrays of (kind, start, end, score), offsets in code points, end exclusive.
+
+    A column of ``docs`` that has such a name already is replaced; another ``prefix`` keeps it.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({f"pii_{k}": _spans(t, k) for k in (*BASE_KINDS, *EXTRA_KINDS)})
+    return docs.withColumns({f"{prefix}{k}": _spans(t, k) for k in (*BASE_KINDS, *EXTRA_KINDS)})
 
 
 def _listed(kinds: tuple[str, ...]) -> Column:
@@ -163,31 +169,34 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     Overlapping spans of different kinds become one mask, named after the span
     that starts first (of those, the longest; then by kind).  Null text stays null.
     """
-    columns = docs.columns
     kinds = (*BASE_KINDS, *EXTRA_KINDS)
+    prefix = "pii_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    t = F.col(text)
+    # in one column, so that the spans are found once
     spans = F.array_sort(
         F.transform(
-            F.concat(*[F.col(f"pii_{k}") for k in kinds]),
+            F.concat(*[F.col(f"{prefix}{k}") for k in kinds]),
             lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("neg_end"), s["kind"].alias("kind")),
         )
     )
-    t = F.col(text)
-
-    def walk(acc: Column, s: Column) -> Column:
-        end = -s["neg_end"]
-        fresh = s["start"] >= acc["pos"]
-        gap = F.substring(t, acc["pos"] + 1, F.greatest(F.lit(0), s["start"] - acc["pos"]))
-        out = F.when(fresh, F.concat(acc["out"], F.array(gap, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["pos"], end).alias("pos"), out.alias("out"))
 
-    zero = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
-    masked = F.aggregate(
-        spans, zero, walk, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(t, acc["pos"] + 1, F.length(t)))
-    )
-    found = detect(docs, text)
-    any_span = sum((F.size(f"pii_{k}") for k in kinds), F.lit(0)) > 0
-    new = {text: F.when(t.isNotNull() & any_span, masked).otherwise(t)}
-    out = found.withColumns(new)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(any_span, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+    def masked(x: Column) -> Column:
+        before = lambda i: F.when(i > 0, F.get(x["upto"], i - 1)).otherwise(F.lit(0))
+        mask = lambda s, i: F.when(
+            s["start"] >= before(i), F.concat(piece(x["parts"], before(i), s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        ).otherwise(F.lit(""))
+        return F.concat(F.array_join(F.transform(x["spans"], mask), ""), piece(x["parts"], F.element_at(x["upto"], -1), F.length(t)))
+
+    upto = lambda x: F.struct(x["parts"], x["spans"], running(F.transform(x["spans"], lambda s: -s["neg_end"]), F.greatest).alias("upto"))
+    found = detect(docs, text, prefix)
+    any_span = sum((F.size(f"{prefix}{k}") for k in kinds), F.lit(0)) > 0
+    whole = bound(bound(F.struct(segments(t).alias("parts"), spans.alias("spans")), upto), masked)
+    new = F.when(t.isNotNull() & any_span, whole).otherwise(t)
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    name = reserved(found.columns, "__masked")
+    out = found.select(*kept, new.alias(name), any_span.alias(f"{name}_any"))
+    n_chars = F.when(F.col(f"{name}_any"), F.length(name).cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
+    replaced = {text: F.col(name), "n_chars": n_chars}
+    return out.select(*(replaced[c].alias(c) if replaced.get(c) is not None else F.col(f"`{c}`") for c in docs.columns))
