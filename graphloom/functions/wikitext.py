@@ -48,7 +48,7 @@ def link_markups(text: str) -> list[str]:
 
 def infobox_links(text: str) -> list[str]:
     """Distinct links directly inside an ``Infobox`` template (not in templates nested in it)."""
-    text = re.sub(r"<!--.*?-->|</?(?:noinclude|includeonly)>|<(nowiki|imagemap|gallery|source|pre)\b.*?</\1>|<ref[^<>]*/>|<ref\b.*?</ref>", "", text, flags=re.S | re.I)
+    text = re.sub(r"<!--.*?-->|</?includeonly>|<(noinclude|nowiki|imagemap|gallery|source|pre)\b[^<>]*>.*?</\1>|<ref[^<>]*/>|<ref\b[^<>]*>.*?</ref>", "", text, flags=re.S | re.I)
     found: dict[str, None] = {}
     stack: list[bool] = []
     opened = False
@@ -61,7 +61,7 @@ def infobox_links(text: str) -> list[str]:
             if stack:
                 stack.pop()
         elif stack:
-            if opened and token[:8].lower() == "infobox ":
+            if opened and token[:8].lower() == "infobox " and not any(stack[:-1]):
                 stack[-1] = True
             if stack[-1]:
                 found |= dict.fromkeys(link_markups(token))
@@ -78,6 +78,21 @@ def _mapped(kind: str, function: Callable[[str], object]) -> Callable[[str | Col
     return lambda column: F.pandas_udf(run, kind)(column)
 
 
-strip_templates = _mapped("string", outside_templates)
-extract_links = _mapped("array<string>", link_markups)
+_strip_templates = _mapped("string", outside_templates)
+_extract_links = _mapped("array<string>", link_markups)
 extract_infobox_links = _mapped("array<string>", infobox_links)
+
+
+def strip_templates(column: str | Column) -> Column:
+    """:func:`outside_templates`; texts without double braces stay in the JVM."""
+    text = F.col(column) if isinstance(column, str) else column
+    # a function in Python runs on every row that it is given, so rows without braces give it nothing to do
+    braces = text.contains("{{") | text.contains("}}")
+    return F.when(braces, _strip_templates(F.when(braces, text))).otherwise(F.regexp_replace(text, r"(?s)\{\|.*?\|\}", ""))
+
+
+def extract_links(column: str | Column) -> Column:
+    """:func:`link_markups`; texts without double brackets stay in the JVM."""
+    text = F.col(column) if isinstance(column, str) else column
+    brackets = text.contains("[[")
+    return F.when(brackets, _extract_links(F.when(brackets, text))).when(text.isNotNull(), F.array().cast("array<string>"))

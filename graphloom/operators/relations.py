@@ -32,20 +32,40 @@ def title_index(pages: DataFrame) -> DataFrame:
     return pages.groupBy("title").agg(F.coalesce(last, first).alias("id"))
 
 
+def last_redirects(redirects: DataFrame) -> DataFrame:
+    """(from_id, to_id), one row a source: the last by ``position``, as a later line of a file replaces an earlier one."""
+    if "position" not in redirects.columns:
+        return redirects.groupBy("from_id").agg(F.min("to_id").alias("to_id"))
+    return redirects.groupBy("from_id").agg(F.max_by("to_id", "position").alias("to_id"))
+
+
 def resolve_redirects(redirects: DataFrame) -> DataFrame:
-    """(from_id, final_id): redirects followed to the end by pointer jumping; what leads into a loop gets the loop's smallest id."""
-    state = written(redirects.groupBy("from_id").agg(F.min("to_id").alias("to_id")).withColumn("low", F.col("to_id")))
-    n, steps = state.count(), 1
-    while True:
-        # to_id is ``steps`` redirects away, low the smallest id on the way
-        hop = state.select(F.col("from_id").alias("mid"), F.col("to_id").alias("next"), F.col("low").alias("next_low"))
-        jumped = state.join(hop, F.col("to_id") == F.col("mid"), "left")
-        new = written(jumped.select("from_id", F.coalesce("next", "to_id").alias("to_id"), F.least("low", F.coalesce("next_low", "low")).alias("low"), F.col("mid").isNotNull().alias("open")))
-        if steps > n or new.where("open").isEmpty():
-            break
-        state, steps = new.drop("open"), 2 * steps
-    loops = new.select(F.col("from_id").alias("to_id"), F.col("low").alias("loop"))
-    return new.join(loops, "to_id", "left").select("from_id", F.coalesce("loop", "to_id").alias("final_id"))
+    """(from_id, final_id): redirects followed to the end by pointer jumping.
+
+    A loop has no end: its own pages stay where they are, what leads into it ends where it enters.
+    """
+    start = written(last_redirects(redirects))
+    n = start.count()
+
+    def jump(edges: DataFrame) -> tuple[DataFrame, bool]:
+        """(from_id, to_id) at the end, or after at least ``n`` redirects; whether any is still on its way."""
+        state, steps = edges, 1
+        while True:
+            hop = state.select(F.col("from_id").alias("mid"), F.col("to_id").alias("next"))
+            jumped = state.join(hop, F.col("to_id") == F.col("mid"), "left")
+            state = written(jumped.select("from_id", F.coalesce("next", "to_id").alias("to_id"), F.col("mid").isNotNull().alias("open")))
+            still = not state.where("open").isEmpty()
+            if not still or steps > n:
+                return state, still
+            state, steps = state.drop("open"), 2 * steps
+
+    ended, looped = jump(start)
+    if looped:
+        # after so many redirects, all that are still on their way are in a loop, and every page of a loop is reached by one
+        loops = written(ended.where("open").select(F.col("to_id").alias("from_id")).distinct())
+        tails, _ = jump(written(start.join(loops, "from_id", "left_anti")))
+        ended = tails.select("from_id", "to_id").unionByName(loops.select("from_id", F.col("from_id").alias("to_id")))
+    return ended.select("from_id", F.col("to_id").alias("final_id"))
 
 
 def links_of(texts: DataFrame, nested: bool = True) -> DataFrame:
@@ -76,21 +96,25 @@ def disambiguation_index(lines: DataFrame) -> DataFrame:
 def canonical(edges: DataFrame, articles: DataFrame) -> DataFrame:
     """(id, target) of every source of ``edges`` (u, v) and the ``articles`` (id) it reaches.
 
-    Semi-naive closure: only the pairs found in the last round are extended, until none is new.
+    Semi-naive closure.  Pairs whose end has no further edge are finished and set aside; only
+    the others are extended and compared with what was open before, until none is new.
     """
-    reach = written(edges.select(F.col("u").alias("id"), F.col("v").alias("target")).distinct())
-    new = reach
-    step = edges.select(F.col("u").alias("target"), F.col("v").alias("further"))
+    edges = written(edges.select("u", "v").distinct())
+    step = edges.select(F.col("u").alias("mid"), F.col("v").alias("further"))
+    inner = edges.select(F.col("u").alias("target")).distinct()
+    pairs = edges.select(F.col("u").alias("id"), F.col("v").alias("target"))
+    opened = new = written(pairs.join(inner, "target", "left_semi").select("id", "target"))
+    found = [pairs]
     while not new.isEmpty():
-        further = new.join(step, "target").select("id", F.col("further").alias("target")).distinct()
-        new = written(further.join(reach, ["id", "target"], "left_anti"))
-        reach = written(reach.union(new))
-    return reach.join(articles.select(F.col("id").alias("target")), "target", "left_semi").select("id", "target")
-
-
-def unique_canonical(canon: DataFrame) -> DataFrame:
-    """(id, canon) of the ids with exactly one canonical target."""
-    return canon.groupBy("id").agg(F.min("target").alias("canon"), F.countDistinct("target").alias("n")).where("n = 1").drop("n")
+        further = written(new.join(step, new["target"] == step["mid"]).select("id", F.col("further").alias("target")).distinct())
+        found.append(further)
+        new = written(further.join(inner, "target", "left_semi").select("id", "target").join(opened, ["id", "target"], "left_anti"))
+        opened = opened.union(new)
+    reach = found[0]
+    for more in found[1:]:
+        reach = reach.union(more)
+    ends = articles.select(F.col("id").alias("target"))
+    return reach.join(ends, "target", "left_semi").select("id", "target").distinct()
 
 
 def _ends(links: DataFrame, pages: DataFrame, canon: DataFrame, ambiguous: DataFrame) -> DataFrame:
@@ -103,6 +127,17 @@ def _ends(links: DataFrame, pages: DataFrame, canon: DataFrame, ambiguous: DataF
     return links.where((F.col("cu") != F.col("cv")) & X.truthy(F.col("tu")) & X.truthy(F.col("tv")))
 
 
+def category_relation(links: DataFrame, pages: DataFrame, canon: DataFrame) -> DataFrame:
+    """Edges (u, v, s, d) from the canonical titles of pages that aren't categories to the titles of their categories.
+
+    A known target that is no category is an error when the result is read.
+    """
+    types = pages.select(F.col("id").alias("v"), F.col("type").alias("v_type"))
+    bad = F.raise_error(F.concat(F.lit("no category: "), F.col("v").cast("string"))).cast("bigint")
+    checked = links.join(types, "v").select("u", F.when(F.col("v_type") == 2, F.col("v")).otherwise(bad).alias("v"))
+    return relation(checked, pages, canon, "C1", (1, 3, 4))
+
+
 def relation(links: DataFrame, pages: DataFrame, canon: DataFrame, source: str, u_types: tuple[int, ...] = (1,), v_types: tuple[int, ...] | None = None) -> DataFrame:
     """Edges (u, v, s, d) between canonical titles of links (u, v) whose ends have the given types."""
     types = pages.select("id", "type")

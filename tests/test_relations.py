@@ -14,7 +14,7 @@ def rows(df):
 
 def test_redirects(spark):
     df = spark.createDataFrame([(1, 2), (2, 3), (5, 6), (6, 5), (9, 5), (7, 7)], "from_id long, to_id long")
-    assert rows(relations.resolve_redirects(df)) == [(1, 3), (2, 3), (5, 5), (6, 5), (7, 7), (9, 5)]
+    assert rows(relations.resolve_redirects(df)) == [(1, 3), (2, 3), (5, 5), (6, 6), (7, 7), (9, 5)]
 
 
 def test_canonical_is_reachability(spark):
@@ -63,7 +63,7 @@ def test_round_robin(spark):
 
 DUMP = """<mediawiki version="0.10"><siteinfo><sitename>W</sitename><case>first-letter</case><namespaces>
 <namespace key="0"/><namespace key="14">Category</namespace></namespaces></siteinfo>
-<page><title>A</title><id>1</id><revision><id>10</id><timestamp>2008-07-09T18:41:10Z</timestamp>
+<page><title>A</title><id>1</id><revision><id>10</id><timestamp>2019-03-02T07:05:09Z</timestamp>
 <contributor><ip>1.2.3.4</ip></contributor><text>[[B]]</text></revision></page>
 <page><title>B</title><id>2</id><redirect title="A"/><revision><id>11</id><minor/><text>#REDIRECT [[A]]</text></revision>
 <revision><id>12</id><text>x</text></revision></page></mediawiki>"""
