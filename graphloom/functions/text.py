@@ -126,15 +126,17 @@ def parse_page_freq(s: Column) -> Column:
 
 #: Wikitext to plain text, in order (pattern, replacement); the links rules come separately.
 _BEFORE_LINKS = ((r"(?s)<!--.*?-->", ""), ("''+", ""), ("==+", ""), (r"\{\{[^{}]*\}\}", ""), (r"(?s)\{\{.*?\}\}", ""), (r"(?s)\{\|.*?\|\}", ""))
-_LINKS = ((r"\[\[[^\[\]|:]+\|([^\[\]]+)\]\]", "$1"), (r"\[\[([^\[\]|:]+)\]\]", "$1"), (r"\[\[[^\[\]]*\]\]", ""))
+#: Links to the dictionary project keep what they show.
+_WIKTIONARY = ((r"(?id)\[\[wiktionary:([^\[\]]+?)\|([^\[\]]+?)\]\]", "$2"), (r"(?id)\[\[wiktionary:([^\[\]]*?)\]\]", "$1"))
+_LINKS = ((r"\[\[[^\[\]|:]+\|([^\[\]]+)\]\]", "$1"), (r"\[\[([^\[\]|:]+)\]\]", "$1"), *_WIKTIONARY, (r"\[\[[^\[\]]*\]\]", ""))
 _AFTER_LINKS = (
-    (r"\[https?://[^\s\]]+ ([^\]]+)\]", "$1"), (r"<ref[^<>]*/>", ""), (r"(?s)<ref>.*?</ref>", ""), (r"(?s)<ref [^<>]*>.*?</ref>", ""), ("\n{3,}", "\n\n"), (r"<[^<>]+>", ""),
+    (r"\[https?://[^\s\]]+ ([^\]]+)\]", "$1"), (r"(?i)<ref[^<>]*/>", ""), (r"(?is)<ref>.*?</ref>", ""), (r"(?is)<ref [^<>]*>.*?</ref>", ""), ("\n{3,}", "\n\n"), (r"<[^<>]+>", ""),
 )
 
 
 def strip_text(s: Column, keep_links: bool = False) -> Column:
-    """Plain text of wikitext without nested templates."""
-    return _all(s, *_BEFORE_LINKS, *(() if keep_links else _LINKS), *_AFTER_LINKS)
+    """Plain text of wikitext without nested templates; ``keep_links`` leaves all links but those to the dictionary project."""
+    return _all(s, *_BEFORE_LINKS, *(_WIKTIONARY if keep_links else _LINKS), *_AFTER_LINKS)
 
 
 def flat_links(s: Column) -> Column:
@@ -142,12 +144,6 @@ def flat_links(s: Column) -> Column:
     return F.regexp_extract_all(s, F.lit(r"(?s)\[\[((?:(?!\[\[|\]\]).)+)\]\]"), F.lit(1))
 
 
-def redirect_target(text: Column) -> Column:
-    """The target of a page that starts with a redirect directive, null otherwise."""
-    target = F.regexp_extract(text, r"(?is)^\s*#?redirect\s*:?\s*\[\[:*(.*?)\]\]", 1)
-    return F.when(target != "", F.regexp_replace(target, r"(?s)\|.*", ""))
-
-
 def page_type(ns: Column, is_redirect: Column, is_disambiguation: Column) -> Column:
     """1 article, 2 category, 3 redirect, 4 disambiguation; null for other namespaces."""
     return F.when(ns == 0, F.when(is_redirect, 3).when(is_disambiguation, 4).otherwise(1)).when(ns == 14, F.when(is_redirect, 3).otherwise(2))
@@ -157,11 +153,40 @@ def pretty_number(n: Column) -> Column:
     return F.format_number(n, 0)
 
 
+def pretty_bytes(n: Column) -> Column:
+    """A size in the largest unit that it reaches, with two decimals: ``512 B``, ``1.50 KiB``."""
+    text = F.concat(n.cast("string"), F.lit(" B"))
+    for k, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
+        text = F.when(n >= 1024**k, F.concat(F.format_string("%.2f", n / 1024**k), F.lit(f" {unit}"))).otherwise(text)
+    return text
+
+
+def link_line(title: Column, target: Column) -> Column:
+    """A link as a sentence; a page without a title shows none."""
+    return F.format_string('Article "%s" links to "%s"', F.coalesce(title, F.lit("")), target)
+
+
+def without_prefix(edge: Column) -> Column:
+    """``u:x`` or ``v:x`` without its mark."""
+    return F.regexp_replace(edge, "^[uv]:", "")
+
+
+def namespace_uri(base: Column, kind: str) -> Column:
+    """The address of a page of the same site: ``base`` (as in the dump's header) up to its last slash, then ``kind``."""
+    return F.concat(F.regexp_replace(base, "[^/]*$", ""), F.lit(kind))
+
+
+def without_anchor_paragraphs(text: Column, anchor: str) -> Column:
+    """The paragraphs (between blank lines) that hold no link which shows ``anchor``."""
+    return F.array_join(F.filter(F.split(text, "\n\n+"), lambda p: ~F.array_contains(F.transform(flat_links(p), lambda m: F.element_at(F.split(m, r"\|", 2), -1)), anchor)), "\n\n")
+
+
 def ngrams(text: Column, longest: int = 11) -> Column:
-    """All distinct runs of 1 to ``longest`` words of a line."""
-    words = F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))),
-        lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size(words) - i + 1)), lambda n: F.array_join(F.slice(words, i, n), " ")),
+    """All distinct runs of 1 to ``longest`` words within a line of a text."""
+    words = F.filter(F.transform(F.split(text, "\n"), lambda line: F.filter(F.split(line, r"(?U)\s+"), lambda w: w != "")), lambda w: F.size(w) > 0)
+    runs = lambda w: F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), F.size(w)), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size(w) - i + 1)), lambda n: F.array_join(F.slice(w, i, n), " "))
+        )
     )
-    return F.when(F.size(words) > 0, F.array_distinct(F.flatten(runs))).otherwise(F.array().cast("array<string>"))
+    return F.coalesce(F.array_distinct(F.flatten(F.transform(words, runs))), F.array().cast("array<string>"))

@@ -11,11 +11,18 @@ from pyspark.sql.window import Window
 from graphloom.functions import text as X
 
 
+#: Rows of a table of short strings that are broadcast at most.
+BROADCAST_ROWS = 500_000
+
+
 def written(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared checkpoint folder (one of our own only where the cluster names none)."""
+    """Cut the lineage in the shared checkpoint folder; one of our own only where none is named and Spark runs in one process."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="graphloom-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="graphloom-"))
     return df.checkpoint()
 
 
@@ -76,9 +83,9 @@ def links_of(texts: DataFrame, nested: bool = True) -> DataFrame:
     return texts.select("id", F.posexplode(found).alias("pos", "markup"))
 
 
-def anchor_frequencies(links: DataFrame) -> DataFrame:
-    """(anchor, target, freq) of links (markup), language and category links left out."""
-    parsed = links.select(X.parse_link(F.col("markup")).alias("l")).where(~F.col("l.title").rlike("(?i)^:?category:"))
+def anchor_frequencies(links: DataFrame, category: str = "category") -> DataFrame:
+    """(anchor, target, freq) of links (markup) by their title, category links left out (see ``extraction`` for resolved ids)."""
+    parsed = links.select(X.parse_link(F.col("markup")).alias("l")).where(~F.startswith(F.lower(F.ltrim("l.title")), F.lit(f"{category.lower()}:")))
     return parsed.groupBy(F.col("l.anchor").alias("anchor"), F.col("l.title").alias("target")).agg(F.count(F.lit(1)).alias("freq"))
 
 
@@ -191,10 +198,16 @@ def ngram_frequencies(texts: DataFrame, longest: int = 11) -> DataFrame:
 
 
 def anchor_occurrence(texts: DataFrame, anchors: DataFrame, longest: int = 11) -> DataFrame:
-    """(anchor, link_count, doc_freq) of the anchors (anchor, freq) that occur in ``texts``."""
-    counts = anchors.groupBy("anchor").agg(F.sum("freq").cast("bigint").alias("link_count"))
-    found = ngram_frequencies(texts, longest).withColumnRenamed("ngram", "anchor").withColumnRenamed("df", "doc_freq")
-    return counts.join(found, "anchor")
+    """(anchor, link_count, doc_freq) of the anchors (anchor, freq) that occur in ``texts``; only n-grams that are anchors are counted."""
+    counts = written(anchors.groupBy("anchor").agg(F.sum("freq").cast("bigint").alias("link_count")))
+    known = F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts
+    grams = texts.select(F.explode(X.ngrams(F.col("text"), longest)).alias("anchor")).join(known.select("anchor"), "anchor", "left_semi")
+    return counts.join(grams.groupBy("anchor").agg(F.count(F.lit(1)).alias("doc_freq")), "anchor")
+
+
+def sized(entries: DataFrame) -> DataFrame:
+    """(n_headwords, n_entries) of a dictionary (headword, entity)."""
+    return entries.agg(F.count_distinct("headword").alias("n_headwords"), F.count(F.lit(1)).alias("n_entries"))
 
 
 def round_robin(rows: DataFrame, n: int, order: str) -> DataFrame:
@@ -213,7 +226,9 @@ def double_redirects(redirects: DataFrame) -> DataFrame:
 
 
 def langlinks(pages: DataFrame, links: DataFrame, lang: str, include_categories: bool = False) -> DataFrame:
-    """(id, title_from, title_to) of links (id, lang, title) in one language."""
+    """(id, title_from, title_to) of links (id, lang, title) in one language; with a ``position``, the last of a page counts."""
+    if "position" in links.columns:
+        links = links.groupBy("id", "lang").agg(F.max_by("title", "position").alias("title"))
     kept = links.where((F.col("lang") == lang) & X.truthy(F.col("title")))
     if include_categories:
         kept = kept.withColumn("title", F.regexp_replace("title", "(?i)^Category:", ""))

@@ -148,7 +148,7 @@ def rel_a(spark, d):
 
 @query("rel_c", _relation_sql("C1", "SELECT p_partkey AS u, 3000000 + p_size % 25 AS v FROM part WHERE 3000000 + p_size % 25 IN (SELECT 3000000 + n_nationkey FROM nation)"))
 def rel_c(spark, d):
-    return relations.relation(category_links(spark, d), pages(spark, d), canonical(spark, d), "C1", (1,), (2,))
+    return relations.category_relation(category_links(spark, d), pages(spark, d), canonical(spark, d))
 
 
 @query("rel_i", _relation_sql("I", "SELECT l_partkey AS u, l_suppkey AS v FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part) AND l_suppkey IN (SELECT p_partkey FROM part)"))
@@ -235,7 +235,7 @@ def split_round_robin(spark, d):
 @query("link_list", f"""WITH {PAGE_SQL} SELECT 'Article "' || coalesce(p.title, '') || '" links to "' || l_suppkey || '"' AS line FROM lineitem LEFT JOIN page p ON p.id = l_partkey""")
 def link_list(spark, d):
     found = pagelinks(spark, d).join(pages(spark, d).withColumnRenamed("id", "u"), "u", "left")
-    return found.select(F.format_string('Article "%s" links to "%s"', F.coalesce("title", F.lit("")), F.col("v").cast("string")).alias("line"))
+    return found.select(X.link_line(F.col("title"), F.col("v").cast("string")).alias("line"))
 
 
 # scalar functions
@@ -424,14 +424,26 @@ def dict_summary(spark, d):
     return matching.mention_counts(table(spark, d, "documents").select("text"), heads)
 
 
-@query("dict_mentions")
+@query(
+    "dict_mentions",
+    # all entries have two words here, so greedy matching takes every second place of a run of neighbouring places
+    r"""WITH bench AS (SELECT string_split_regex(lower(text), '\s+') AS w FROM benchmark),
+             heads AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || '_' || w[i + 1])) AS headword FROM bench),
+             docs AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '') AS w FROM documents),
+             spots AS (SELECT doc_id, unnest(range(1, len(w))) AS i, w FROM docs),
+             hits AS (SELECT doc_id, i, w[i] || '_' || w[i + 1] AS headword FROM spots WHERE w[i] || '_' || w[i + 1] IN (SELECT headword FROM heads)),
+             runs AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits),
+             taken AS (SELECT headword FROM (SELECT headword, (i - min(i) OVER (PARTITION BY doc_id, run)) % 2 AS odd FROM runs) WHERE odd = 0)
+        SELECT h.headword, count(t.headword) AS n_total FROM heads h LEFT JOIN taken t USING (headword) GROUP BY 1""",
+)
 def dict_mentions(spark, d):
     pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws("_", F.slice("w", i, 2)))
     heads = table(spark, d, "benchmark").select(F.split(F.lower("text"), r"\s+").alias("w")).select(F.explode(pairs).alias("headword")).distinct()
     return matching.mention_counts(table(spark, d, "documents").select("text"), heads)
 
 
-NGRAM_SQL = r"""words AS (SELECT item_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM benchmark),
+NGRAM_SQL = r"""lines AS (SELECT item_id, unnest(string_split(text, chr(10))) AS line FROM benchmark),
+  words AS (SELECT item_id, list_filter(regexp_split_to_array(line, '\s+'), lambda x: x <> '') AS w FROM lines),
   grams AS (SELECT DISTINCT item_id, array_to_string(w[i:i + n - 1], ' ') AS ngram
             FROM words, generate_series(1, len(w)) a(i), generate_series(1, 11) b(n) WHERE i + n - 1 <= len(w))"""
 

@@ -46,8 +46,25 @@ def read_namespaces(spark: SparkSession, path: str) -> dict[str, int]:
     return {r._VALUE.strip().lower(): r._key for r in rows.where("_VALUE IS NOT NULL").distinct().collect() if r._VALUE.strip()}
 
 
+def category_name(namespaces: dict[str, int]) -> str | None:
+    """The lower-cased name of the category namespace."""
+    return next((name for name, key in namespaces.items() if key == 14), None)
+
+
+def namespaces_by_id(namespaces: dict[str, int]) -> list[tuple[int, str]]:
+    return sorted((key, name) for name, key in namespaces.items())
+
+
 def read_siteinfo(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", "siteinfo").schema("sitename string, base string, generator string, case string").load(path)
+    """(sitename, base, generator, case, namespaces: a map from key to name) of a dump's header."""
+    schema = "sitename string, base string, generator string, case string, namespaces struct<namespace:array<struct<_key:int,_VALUE:string>>>"
+    found = spark.read.format("xml").option("rowTag", "siteinfo").schema(schema).load(path)
+    entries = F.transform(F.coalesce("namespaces.namespace", F.array()), lambda n: F.struct(n["_key"], F.coalesce(n["_VALUE"], F.lit(""))))
+    return found.select("sitename", "base", "generator", "case", F.map_from_entries(entries).alias("namespaces"))
+
+
+#: fixed value: the newest version of the dump format that was tested
+TESTED_VERSION = "0.10"
 
 
 def version_key(version: Column) -> Column:
@@ -55,6 +72,51 @@ def version_key(version: Column) -> Column:
     return F.transform(F.split(version, r"\."), lambda x: x.cast("int"))
 
 
+def compare_versions(a: str, b: str) -> int:
+    """-1, 0 or 1; a missing component counts as 0."""
+    x, y = ([int(n) for n in v.split(".")] for v in (a, b))
+    x, y = x + [0] * (len(y) - len(x)), y + [0] * (len(x) - len(y))
+    return (x > y) - (x < y)
+
+
+def check_version(spark: SparkSession, path: str, newest: str = TESTED_VERSION) -> str:
+    """The version of a dump; a newer one than ``newest`` is an error.  Readers don't call it on their own."""
+    head = spark.read.text(path).where(F.col("value").rlike("<mediawiki[^>]*version="))
+    found = head.select(F.regexp_extract("value", '<mediawiki[^>]*version="([0-9.]+)"', 1).alias("v")).first()
+    if found is None:
+        raise ValueError("no version in the dump's header")
+    if compare_versions(found.v, newest) > 0:
+        raise ValueError(f"dump version {found.v} is newer than {newest}")
+    return found.v
+
+
+def compat_pages(pages: DataFrame, namespaces: dict[str, int]) -> DataFrame:
+    """One row a page with namespace, redirect target, categories and editor; a page with several revisions is an error."""
+    from graphloom.functions import languages
+    from graphloom.functions import text as X
+
+    several = F.raise_error(F.concat(F.lit("several revisions: "), "title")).cast("string")
+    one = pages.withColumn("title", F.when(F.size("revision") > 1, several).otherwise(F.col("title")))
+    last = latest(one)
+    ns = X.title_namespace(F.col("title"), namespaces)
+    named = F.regexp_extract_all("text", F.lit(r"(?i)\[\[\s*category\s*:\s*([^\]|]+)"), F.lit(1))
+    return last.select("*", ns["ns"].alias("namespace"), F.coalesce("redirect", languages.redirect_markup(F.col("text"))).alias("redirect_to"), F.transform(named, lambda c: F.trim(c)).alias("categories"))
+
+
+def compat_links(rows: DataFrame) -> DataFrame:
+    """(from_id, namespace, to) of a dump of page links: its first three columns."""
+    a, b, c = rows.columns[:3]
+    return rows.select(F.col(a).alias("from_id"), F.col(b).alias("namespace"), F.col(c).alias("to"))
+
+
+def read_elements(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """A row for each element ``tag`` at any depth: attributes as ``_name``, text as ``_VALUE``, children by name.
+
+    ``schema`` picks what is kept, so a short form without children costs no more than it shows.
+    """
+    return spark.read.format("xml").option("rowTag", tag).option("mode", "FAILFAST").option("ignoreSurroundingSpaces", True).schema(schema).load(path)
+
+
 def _fields(spark: SparkSession, path: str, pattern: str, fields: dict[str, str], strict: bool) -> DataFrame:
     lines = spark.read.text(path)
     if strict:
@@ -85,7 +147,41 @@ def read_canonical(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_edges(spark: SparkSession, path: str) -> DataFrame:
-    return _fields(spark, path, r"\bu:(\S+).*\bv:(\S+)", {"u": "string", "v": "string"}, True)
+    """(u, v) of lines that hold ``u:`` and ``v:`` in either order; a line without one of them is an error."""
+    ends = [F.regexp_extract("value", rf"\b{k}:(\S+)", 1) for k in "uv"]
+    bad = F.raise_error(F.concat(F.lit("malformed row: "), "value")).cast("string")
+    return spark.read.text(path).select(*[F.when((ends[0] != "") & (ends[1] != ""), end).otherwise(bad).alias(k) for k, end in zip("uv", ends, strict=True)])
+
+
+def read_split(spark: SparkSession, path: str) -> DataFrame:
+    """(id, text) of ``id,"text"`` lines, escapes undone."""
+    from graphloom.functions.text import unescape_text
+
+    found = _fields(spark, path, r'^(\d+),"(.+?)"$', {"id": "bigint", "text": "string"}, False)
+    return found.withColumn("text", unescape_text(F.col("text")))
+
+
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(text): plain text, one text a line."""
+    return spark.read.text(path).withColumnRenamed("value", "text")
+
+
+def read_langlinks(spark: SparkSession, path: str) -> DataFrame:
+    """(id, lang, title) of a dump of language links; of two rows for a page and language the later one counts (in the order read)."""
+    rows = read_mysql_dump(spark, path, "langlinks")
+    id_, lang, title = rows.columns[:3]
+    return rows.select(F.col(id_).alias("id"), F.col(lang).alias("lang"), F.col(title).alias("title"))
+
+
+def find_dump(spark: SparkSession, folder: str) -> str:
+    """The one dump of pages in a folder of any store that Spark reads; none or several are an error."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [str(s.getPath()) for s in fs.listStatus(path) if "pages-articles.xml" in s.getPath().getName().lower()]
+    if len(found) != 1:
+        raise ValueError(f"{folder} holds {len(found)} dumps of pages")
+    return found[0]
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -127,31 +223,37 @@ def parse_rows(statement: str) -> list[list[str | None]]:
     return rows
 
 
-def mysql_schema(ddl: list[str]) -> T.StructType:
-    """Columns of the first CREATE TABLE statement in some lines."""
+def mysql_schema(statement: str) -> T.StructType:
+    """Columns of a CREATE TABLE statement."""
     fields = []
-    started = False
-    for line in ddl:
-        if line.startswith("CREATE TABLE"):
-            if started:
-                break
-            started = True
-        elif started and (m := re.match(r"\s*`(\w+)` (\w+)", line)):
+    for line in statement.splitlines():
+        if m := re.match(r"\s*`(\w+)` (\w+)", line):
             if m[2].lower() not in _TYPE_OF:
                 raise ValueError(f"unknown column type {m[2]}")
             fields.append(T.StructField(m[1], {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}[_TYPE_OF[m[2].lower()]]))
-        elif started and line.startswith(")"):
-            break
     return T.StructType(fields)
 
 
-def read_mysql_dump(spark: SparkSession, path: str) -> DataFrame:
-    """The first table of a MySQL dump, typed by its DDL."""
-    lines = spark.read.text(path)
-    head = [r.value for r in lines.limit(1000).collect()]
-    if not head or not head[0].startswith("-- MySQL dump"):
+_CREATE = r"(?m)^CREATE TABLE `(\w+)`"
+
+
+def mysql_tables(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(name, CREATE statement) of the tables of a MySQL dump, in the order of the file (a few rows)."""
+    statements = spark.read.option("lineSep", ";\n").text(path)
+    if statements.where(F.col("value").rlike(r"\A\s*-- MySQL dump")).isEmpty():
         raise ValueError("not a MySQL dump")
-    schema = mysql_schema(head)
+    found = statements.select("value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    rows = found.where(F.col("value").rlike(_CREATE)).orderBy("block", "n").select(F.regexp_extract("value", _CREATE, 1).alias("name"), "value").collect()
+    return [(r.name, r.value[r.value.index("CREATE TABLE") :]) for r in rows]
+
+
+def read_mysql_dump(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """One table of a MySQL dump (the first, unless named), typed by its DDL wherever that stands; a dump without it is an error."""
+    tables = mysql_tables(spark, path)
+    chosen = next(((name, ddl) for name, ddl in tables if table in (None, name)), None)
+    if chosen is None:
+        raise ValueError(f"no CREATE TABLE of {table or 'any table'}")
+    name, schema = chosen[0], mysql_schema(chosen[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,5 +261,7 @@ def read_mysql_dump(spark: SparkSession, path: str) -> DataFrame:
                 rows = parse_rows(statement)
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(len(schema))], names=schema.names)
 
-    raw = lines.where(F.startswith("value", F.lit("INSERT INTO"))).mapInArrow(run, T.StructType([T.StructField(n, T.StringType()) for n in schema.names]))
+    statements = spark.read.option("lineSep", ";\n").text(path)
+    own = statements.where(F.col("value").rlike(rf"(?m)^INSERT INTO `{name}`"))
+    raw = own.mapInArrow(run, T.StructType([T.StructField(n, T.StringType()) for n in schema.names]))
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

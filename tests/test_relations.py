@@ -41,11 +41,11 @@ def test_title_index(spark):
 
 
 def test_matcher(spark):
-    m = matching.Matcher(["new_york", "new_york_city", "york", "one_two_three_four_five_six"])
-    assert m.matches("In New York City and new york york") == ["new_york_city", "new_york", "york"]
-    texts = spark.createDataFrame([("New York City",), ("york",), (None,)], "text string")
-    heads = spark.createDataFrame([("new_york_city",), ("york",), ("boston",)], "headword string")
-    assert rows(matching.mention_counts(texts, heads)) == [("boston", 0), ("new_york_city", 1), ("york", 1)]
+    texts = spark.createDataFrame([("In New York City and new york york",), ("New York City",), ("york",), (None,), ("",), ("new_york city",)], "text string")
+    heads = spark.createDataFrame([("new_york_city",), ("new_york",), ("york",), ("boston",), ("one_two_three_four_five_six",)], "headword string")
+    counts = rows(matching.mention_counts(texts, heads))
+    assert counts == [("boston", 0), ("new_york", 1), ("new_york_city", 2), ("one_two_three_four_five_six", 0), ("york", 2)]
+    assert matching.mentions(texts, heads.limit(0)).count() == 0
 
 
 def test_trees(spark):
@@ -93,3 +93,37 @@ def test_mysql(spark, tmp_path):
         "-- MySQL dump 10\nCREATE TABLE `t` (\n  `a` int(8) NOT NULL,\n  `b` varbinary(255),\n  `c` double\n) ENGINE=x;\nINSERT INTO `t` VALUES (1,'x\\'y),(',1.5),(2,NULL,NULL);\n"
     )
     assert rows(dump.read_mysql_dump(spark, str(tmp_path / "m.sql"))) == [(1, "x'y),(", 1.5), (2, None, None)]
+
+
+def test_mysql_two_tables(spark, tmp_path):
+    (tmp_path / "m.sql").write_text(
+        "-- MySQL dump 10\n\n" + "-- filler;\n" * 1500 + "CREATE TABLE `t` (\n  `a` int(8)\n) ENGINE=x;\nINSERT INTO `t` VALUES (1),(2);\nCREATE TABLE `langlinks` (\n  `ll_from` int,\n  `ll_lang` varbinary(20),\n  `ll_title` varbinary(255)\n);\nINSERT INTO `langlinks` VALUES (1,'es','Uno;\\nDos');\n"
+    )
+    path = str(tmp_path / "m.sql")
+    assert rows(dump.read_mysql_dump(spark, path)) == [(1,), (2,)]
+    assert rows(dump.read_langlinks(spark, path)) == [(1, "es", "Uno;\nDos")]
+    with pytest.raises(ValueError, match="no CREATE TABLE"):
+        dump.read_mysql_dump(spark, path, "other")
+
+
+def test_edges_in_either_order(spark, tmp_path):
+    (tmp_path / "e.txt").write_text("u:a v:b s:A d:1\nv:x u:y\n")
+    assert rows(dump.read_edges(spark, str(tmp_path / "e.txt"))) == [("a", "b"), ("y", "x")]
+    (tmp_path / "bad.txt").write_text("u:a\n")
+    with pytest.raises(Exception, match="malformed"):
+        dump.read_edges(spark, str(tmp_path / "bad.txt")).collect()
+
+
+def test_dump_header(spark, tmp_path):
+    (tmp_path / "x-pages-articles.xml").write_text(DUMP)
+    path = dump.find_dump(spark, str(tmp_path))
+    info = dump.read_siteinfo(spark, path).first()
+    assert info.sitename == "W" and info.namespaces == {0: "", 14: "Category"}
+    assert dump.check_version(spark, path) == "0.10" and dump.compare_versions("0.10", "0.9") == 1
+    with pytest.raises(ValueError, match="newer"):
+        dump.check_version(spark, path, "0.3")
+    with pytest.raises(Exception, match="several revisions"):
+        dump.compat_pages(dump.read_pages(spark, path), {"category": 14}).collect()
+    (tmp_path / "y-pages-articles.xml").write_text(DUMP)
+    with pytest.raises(ValueError, match="2 dumps"):
+        dump.find_dump(spark, str(tmp_path))

@@ -18,6 +18,8 @@ CASES = [
     (X.case_fixer, "talk:abc", "talk:Abc"),
     (X.case_fixer, "abc", "Abc"),
     (X.strip_text, "a {{x}} [[b|c]] [[d]] [[E:f]] ''g''<ref>h</ref>", "a  c d  g"),
+    (X.strip_text, "[[wiktionary:dog|hound]] [[Wiktionary:cat]] x<REF name=a>y</Ref>", "hound cat x"),
+    (lambda c: F.nullif(F.array_join(X.ngrams(c, 2), "/"), F.lit("")), "a b\nc a", "a/a b/b/c/c a"),
 ]
 
 
