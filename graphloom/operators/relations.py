@@ -26,6 +26,22 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Parts of a union that are written as one before more are added; a plan with many parts grows past what Spark compiles.
+PARTS = 8
+
+
+def gathered(parts: list[DataFrame]) -> list[DataFrame]:
+    """``parts``, written as one once there are ``PARTS`` of them."""
+    return parts if len(parts) < PARTS else [written(united(parts))]
+
+
+def united(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def page_stats(pages: DataFrame) -> DataFrame:
     """One row of counts by type."""
     names = {1: "article_count", 2: "category_count", 3: "redirect_count", 4: "disambig_count"}
@@ -110,16 +126,14 @@ def canonical(edges: DataFrame, articles: DataFrame) -> DataFrame:
     step = edges.select(F.col("u").alias("mid"), F.col("v").alias("further"))
     inner = edges.select(F.col("u").alias("target")).distinct()
     pairs = edges.select(F.col("u").alias("id"), F.col("v").alias("target"))
-    opened = new = written(pairs.join(inner, "target", "left_semi").select("id", "target"))
-    found = [pairs]
+    new = written(pairs.join(inner, "target", "left_semi").select("id", "target"))
+    opened, found = [new], [pairs]
     while not new.isEmpty():
         further = written(new.join(step, new["target"] == step["mid"]).select("id", F.col("further").alias("target")).distinct())
-        found.append(further)
-        new = written(further.join(inner, "target", "left_semi").select("id", "target").join(opened, ["id", "target"], "left_anti"))
-        opened = opened.union(new)
-    reach = found[0]
-    for more in found[1:]:
-        reach = reach.union(more)
+        found = gathered([*found, further])
+        new = written(further.join(inner, "target", "left_semi").select("id", "target").join(united(opened), ["id", "target"], "left_anti"))
+        opened = gathered([*opened, new])
+    reach = united(found)
     ends = articles.select(F.col("id").alias("target"))
     return reach.join(ends, "target", "left_semi").select("id", "target").distinct()
 

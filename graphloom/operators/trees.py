@@ -6,18 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from graphloom.operators.relations import written
+from graphloom.operators.relations import gathered, united, written
 
 
 def with_paths(tree: DataFrame) -> DataFrame:
     """``tree`` with path (ids from the root) and address (``0:i:j``), built level by level; a node that is its own ancestor is an error."""
+    tree = written(tree)
     level = written(tree.where("parent_id IS NULL").withColumns({"path": F.array("node_id"), "address": F.lit("0")}))
-    found = level
+    parts = [level]
     while not level.isEmpty():
         above = level.select(F.col("node_id").alias("parent_id"), F.col("path").alias("up"), F.col("address").alias("at"))
         level = tree.join(above, "parent_id").withColumn("path", F.concat("up", F.array("node_id"))).withColumn("address", F.concat("at", F.lit(":"), F.col("ordinal").cast("string")))
-        level = written(level.select(*found.columns))
-        found = found.unionByName(level)
+        level = written(level.select(*parts[0].columns))
+        parts = gathered([*parts, level])
+    found = united(parts)
     lost = tree.join(found.select("node_id"), "node_id", "left_anti")
     # what hangs below no node at all is left out, but a node without a root above it is in a loop or below one
     loop = lost.join(tree.select(F.col("node_id").alias("parent_id")), "parent_id", "left_semi")
