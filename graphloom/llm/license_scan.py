@@ -75,6 +75,28 @@ def _rules_literal() -> Column:
     )
 
 
+def _uncovered(own: Column, earlier: Column) -> Column:
+    """The spans of ``own`` that lie inside none of ``earlier``.
+
+    In the order of starts, a span is inside another if one that starts no later ends no sooner: the largest end so
+    far tells.  A span that covers a suppressed one is covered by what suppressed that, so suppressed spans may count too.
+    """
+    kind = "array<struct<start:int,own:int,end:int,i:int>>"
+    left = F.transform(earlier, lambda s: F.struct(s["start"], F.lit(0), s["end"], F.lit(0))).cast(kind)
+    right = F.transform(own, lambda s, i: F.struct(s["start"], F.lit(1), s["end"], i)).cast(kind)
+
+    def told(x: Column) -> Column:
+        tops = running(F.transform(x["all"], lambda m: F.when(m["own"] == 0, m["end"]).otherwise(F.lit(0))), F.greatest)
+        return bound(
+            F.struct(x["all"].alias("all"), x["own"].alias("own"), tops.alias("tops")),
+            lambda y: F.filter(
+                F.transform(y["all"], lambda m, k: F.when((m["own"] == 1) & (F.get(y["tops"], k) < m["end"]), F.get(y["own"], m["i"]))), lambda s: s.isNotNull()
+            ),
+        )
+
+    return F.when(F.size(earlier) == 0, own).otherwise(bound(F.struct(F.array_sort(F.concat(left, right)).alias("all"), own.alias("own")), told))
+
+
 def _detections(text: Column) -> Column:
     """Kept spans of all rules: in order of priority, none inside one kept before."""
     folded = F.regexp_replace(F.lower(text), _SEPARATORS, " ")
@@ -90,14 +112,7 @@ def _detections(text: Column) -> Column:
 
     # through a one-element array, so that the folded text is made once and not once a rule
     tried = F.flatten(F.transform(F.array(folded), lambda f: F.filter(_rules_literal(), lambda r: F.contains(f, r["keyword"]))))
-    found = F.flatten(F.transform(tried, spans))
-    kept = F.aggregate(
-        found,
-        F.array().cast(_SPAN),
-        lambda acc, s: F.when(
-            F.exists(acc, lambda k: (k["start"] <= s["start"]) & (s["end"] <= k["end"])), acc
-        ).otherwise(F.concat(acc, F.array(s))),
-    )
+    kept = bound(F.transform(tried, spans), lambda lists: F.flatten(F.transform(lists, lambda own, j: _uncovered(own, F.flatten(F.slice(lists, 1, j))))))
     return F.when(text.rlike(GATE), kept).otherwise(F.array().cast(_SPAN))
 
 

@@ -106,6 +106,7 @@ class Mix:
     """The plan of one mix over ``docs`` (doc_id, text, source); ``block`` is the most words of a block."""
 
     def __init__(self, docs: DataFrame, block: int = BLOCK, shard: int = SHARD, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeat: float = 2.0):
+        docs = docs.select("doc_id", "text", "source")  # other columns may have the names that are used here
         self.docs, self.block, self.shard, self.repeat = docs, block, shard, repeat
         sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("tie")))
         by_source = cut(sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n_rows")))

@@ -231,9 +231,9 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Factoris
                 names=["doc_id", "label", "places", "vals"],
             )
 
-    sample = docs.select("doc_id", "text").join(chosen, "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "label")
-    rows = sample.mapInArrow(run, "doc_id long, label int, places binary, vals binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.places)))
+    sample = docs.select("doc_id", "text").join(chosen, "doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "label")
+    rows = sample.mapInArrow(run, "doc_id string, label int, places binary, vals binary").collect()
+    rows.sort(key=lambda r: (len(r.doc_id), r.doc_id, bytes(r.places)))  # whole numbers in their order
     parsed = [(np.frombuffer(r.places, np.int32).astype(np.int64), np.frombuffer(r.vals, np.float32)) for r in rows]
     return train(parsed, np.array([r.label for r in rows], float))
 

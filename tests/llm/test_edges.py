@@ -88,6 +88,8 @@ def test_quality(spark, odd):
     assert len(got) == 8 and all(0 <= r.score <= 1 for r in got)
     assert {r.score for r in quality.digest(odd, labels.limit(0)).collect()} == {0.5}
     assert quality.digest(odd.limit(0), labels).count() == 0
+    named = lambda df: df.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    assert quality.digest(named(odd), named(labels)).count() == 8
 
 
 def test_pages(spark):
