@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,10 +198,14 @@ def tree_spliced(spark, d):
 
 
 def _streamed(frame: DataFrame, spark: SparkSession, name: str, mode: str) -> DataFrame:
-    """The rows of a stream after all that its source holds."""
+    """The rows of a stream after all that its source holds; what a stream only adds goes to files, and not through the driver."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="graphloom-stream-")
-    query_ = frame.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{shared}/{name}-{spark.sparkContext.applicationId}-{id(frame)}").trigger(availableNow=True).start()
-    query_.awaitTermination()
+    folder = f"{shared}/{name}-{uuid4().hex}"
+    writer = frame.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+    if mode == "append":
+        writer.format("parquet").option("path", f"{folder}/rows").start().awaitTermination()
+        return spark.read.schema(frame.schema).parquet(f"{folder}/rows")
+    writer.format("memory").queryName(name).start().awaitTermination()
     return spark.table(name)
 
 

@@ -69,3 +69,10 @@ def test_small_text_functions(spark):
     assert [r[0] for r in df.select(X.pretty_bytes(F.col("n"))).collect()] == ["512 B", "1.50 KiB", "5.00 GiB"]
     assert [r[0] for r in df.select(X.without_anchor_paragraphs(F.col("t"), "c")).collect()] == ["[[e]]", "p", None]
     assert df.select(X.namespace_uri(F.lit("http://x.y/wiki/Main_Page"), "Category")).first()[0] == "http://x.y/wiki/Category"
+
+
+def test_appended_rows_bypass_the_driver(spark):
+    from graphloom.plans.queries import QUERIES
+
+    found = QUERIES["stream_links"](spark, "/root/testdata/sf0.001")
+    assert found.count() == 1000 and found.inputFiles()  # files, no table in the driver's memory
