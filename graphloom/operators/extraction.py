@@ -7,7 +7,7 @@ titles make skewed joins, which adaptive execution splits.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame
@@ -25,25 +25,115 @@ from graphloom.sources import sinks
 ARTICLES, CATEGORIES = 0, 14
 
 
-@dataclass
 class Relations:
-    """The relations of one dump.  ``rejects`` (kind, id, title, target, ns) has the links that lead nowhere."""
-
-    page: DataFrame
-    stats: DataFrame
-    redirect: DataFrame
-    pagelink: DataFrame
-    categorylink: DataFrame
-    translation: DataFrame
-    disambiguation: DataFrame
-    equivalence: DataFrame
-    anchor: DataFrame
-    infobox: DataFrame
-    rejects: DataFrame
+    """The relations of one dump, each made when it is first asked for, with what it needs only.
+
+    ``rejects`` (kind, id, title, target, ns) has the links that lead nowhere.
+    """
 
     #: columns that are quoted in the text form of a relation
     QUOTED = {"page": ("title",), "translation": ("lang", "title"), "disambiguation": ("scope",), "anchor": ("anchor",)}
 
+    def __init__(self, pages: DataFrame, namespaces: dict[str, int], lang: str = "en") -> None:
+        self._pages, self._namespaces, self._lang = pages, namespaces, lang
+        self._category = next((name for name, key in namespaces.items() if key == CATEGORIES), "category")
+
+    @cached_property
+    def _base(self) -> DataFrame:
+        return written(summary(self._pages, self._namespaces, self._lang))
+
+    @cached_property
+    def page(self) -> DataFrame:
+        return self._base.select("id", "title", "type")
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return relations.page_stats(self.page)
+
+    @cached_property
+    def _redirects(self) -> tuple[DataFrame, DataFrame]:
+        own = self._base.where(X.truthy(F.col("redirect"))).withColumn("link", parsed(F.col("redirect"), self._namespaces))
+        own = own.where(F.col("link.ns").isin(ARTICLES, CATEGORIES)).select("id", F.col("title").alias("page_title"), F.col("link.ns").alias("ns"), F.col("link.title").alias("target_title"))
+        return _split(_lookup(own, title_keys(self._base)), "redirect")
+
+    @cached_property
+    def redirect(self) -> DataFrame:
+        return written(self._redirects[0].select(F.col("id").alias("from_id"), F.col("target").alias("to_id")))
+
+    @cached_property
+    def _final(self) -> DataFrame:
+        return written(relations.resolve_redirects(self.redirect))
+
+    @cached_property
+    def _index(self) -> DataFrame:
+        """Links resolve to what a title's page redirects to in the end."""
+        ends = self._final.select(F.col("from_id").alias("target"), F.col("final_id"))
+        return written(title_keys(self._base).join(ends, "target", "left").select("ns", "key", F.coalesce("final_id", "target").alias("target")))
+
+    @cached_property
+    def equivalence(self) -> DataFrame:
+        same = self._base.where(F.col("ns") == CATEGORIES).select("id", F.col("title").alias("page_title"), F.lit(ARTICLES).alias("ns"), X.clean_title(F.col("title")).alias("target_title"))
+        return _split(_lookup(same, self._index), "equivalence")[0].select(F.col("id").alias("category_id"), F.col("target").alias("article_id"))
+
+    @cached_property
+    def _links(self) -> DataFrame:
+        stripped = self._base.withColumn("stripped", strip_templates("text")).where(X.truthy(F.col("stripped")))
+        links = stripped.select("id", F.col("title").alias("page_title"), F.explode(extract_links("stripped")).alias("markup")).withColumn("link", parsed(F.col("markup"), self._namespaces))
+        links = links.where(X.truthy(F.col("link.anchor")) & X.truthy(F.col("link.title")))
+        return written(links.select("id", "page_title", "link.lang", "link.ns", F.col("link.title").alias("target_title"), "link.anchor"))
+
+    @cached_property
+    def translation(self) -> DataFrame:
+        return self._links.where("lang IS NOT NULL").select("id", "lang", F.col("target_title").alias("title"))
+
+    @cached_property
+    def _articles(self) -> tuple[DataFrame, DataFrame]:
+        found, lost = _split(written(_lookup(self._links.where("lang IS NULL").where(F.col("ns") == ARTICLES), self._index)), "pagelink")
+        return found, lost
+
+    @cached_property
+    def pagelink(self) -> DataFrame:
+        return self._articles[0].select(F.col("id").alias("from_id"), F.col("target").alias("to_id"))
+
+    @cached_property
+    def _parents(self) -> tuple[DataFrame, DataFrame]:
+        return _split(_lookup(self._links.where("lang IS NULL").where(F.col("ns") == CATEGORIES), self._index), "categorylink")
+
+    @cached_property
+    def categorylink(self) -> DataFrame:
+        return self._parents[0].select(F.col("target").alias("parent_id"), F.col("id").alias("child_id"))
+
+    @cached_property
+    def anchor(self) -> DataFrame:
+        used = self._articles[0].groupBy("anchor", F.col("target").alias("target_id")).agg(F.count(F.lit(1)).alias("freq"))
+        titles = self.page.where("type IN (1, 3)").join(self._final.select(F.col("from_id").alias("id"), "final_id"), "id", "left")
+        titles = titles.select(F.col("title").alias("anchor"), F.when(F.col("type") == 1, F.col("id")).otherwise(F.coalesce("final_id", "id")).alias("target_id")).distinct()
+        return relations.seed_anchors(used, titles).select(X.clean_text(F.col("anchor")).alias("anchor"), "target_id", "freq")
+
+    @cached_property
+    def _listed(self) -> tuple[DataFrame, DataFrame]:
+        ambiguous = self._base.where(languages.is_disambiguation(F.col("text"), self._lang, self._category))
+        ambiguous = ambiguous.withColumn("stripped", strip_templates("text")).where(X.truthy(F.col("stripped")))
+        return _split(_lookup(disambiguation_lines(ambiguous, self._namespaces, self._lang), self._index), "disambiguation")
+
+    @cached_property
+    def disambiguation(self) -> DataFrame:
+        return relations.disambiguation_index(self._listed[0]).select("id", F.col("target").alias("target_id"), "index", "scope")
+
+    @cached_property
+    def _inside(self) -> tuple[DataFrame, DataFrame]:
+        boxes = self._base.where(F.contains(F.lower("text"), F.lit("{{infobox "))).select("id", F.col("title").alias("page_title"), F.explode(extract_infobox_links("text")).alias("markup"))
+        boxes = boxes.withColumn("link", parsed(F.col("markup"), self._namespaces)).where(F.col("link.lang").isNull() & F.col("link.ns").isin(ARTICLES, CATEGORIES))
+        return _split(_lookup(boxes.select("id", "page_title", "link.ns", F.col("link.title").alias("target_title")), self._index), "infobox")
+
+    @cached_property
+    def infobox(self) -> DataFrame:
+        return self._inside[0].select(F.col("id").alias("from_id"), F.col("target").alias("to_id"))
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return relations.united([found[1] for found in (self._redirects, self._articles, self._parents, self._listed, self._inside)])
+
     def write(self, folder: str, done: set[str] | None = None, compression: str = "none") -> None:
         """All relations as text, one folder each; those in ``done`` (finished by an earlier run) are left alone."""
         for name in ("page", "stats", "redirect", "pagelink", "categorylink", "translation", "disambiguation", "equivalence", "anchor", "infobox", "rejects"):
@@ -127,60 +217,7 @@ def extract(pages: DataFrame, namespaces: dict[str, int], lang: str = "en") -> R
 
     Null texts count as empty; an empty dump gives empty relations; pages of other namespaces are left out.
     """
-    base = written(summary(pages, namespaces, lang))
-    page = base.select("id", "title", "type")
-    first_index = title_keys(base)
-
-    own = base.where(X.truthy(F.col("redirect"))).withColumn("link", parsed(F.col("redirect"), namespaces))
-    own = own.where(F.col("link.ns").isin(ARTICLES, CATEGORIES)).select("id", F.col("title").alias("page_title"), F.col("link.ns").alias("ns"), F.col("link.title").alias("target_title"))
-    redirects, lost = _split(_lookup(own, first_index), "redirect")
-    redirect = written(redirects.select(F.col("id").alias("from_id"), F.col("target").alias("to_id")))
-    rejects = [lost]
-
-    # links resolve to what a title's page redirects to in the end
-    final = written(relations.resolve_redirects(redirect))
-    ends = final.select(F.col("from_id").alias("target"), F.col("final_id"))
-    index = written(first_index.join(ends, "target", "left").select("ns", "key", F.coalesce("final_id", "target").alias("target")))
-
-    same = base.where(F.col("ns") == CATEGORIES).select("id", F.col("title").alias("page_title"), F.lit(ARTICLES).alias("ns"), X.clean_title(F.col("title")).alias("target_title"))
-    equivalence = _split(_lookup(same, index), "equivalence")[0].select(F.col("id").alias("category_id"), F.col("target").alias("article_id"))
-
-    stripped = base.withColumn("stripped", strip_templates("text")).where(X.truthy(F.col("stripped")))
-    links = stripped.select("id", F.col("title").alias("page_title"), F.explode(extract_links("stripped")).alias("markup")).withColumn("link", parsed(F.col("markup"), namespaces))
-    links = links.where(X.truthy(F.col("link.anchor")) & X.truthy(F.col("link.title")))
-    links = written(links.select("id", "page_title", "link.lang", "link.ns", F.col("link.title").alias("target_title"), "link.anchor"))
-    translation = links.where("lang IS NOT NULL").select("id", "lang", F.col("target_title").alias("title"))
-    inner = links.where("lang IS NULL")
-    articles, lost = _split(_lookup(inner.where(F.col("ns") == ARTICLES), index), "pagelink")
-    articles = written(articles)
-    rejects.append(lost)
-    pagelink = articles.select(F.col("id").alias("from_id"), F.col("target").alias("to_id"))
-    parents, lost = _split(_lookup(inner.where(F.col("ns") == CATEGORIES), index), "categorylink")
-    rejects.append(lost)
-    categorylink = parents.select(F.col("target").alias("parent_id"), F.col("id").alias("child_id"))
-
-    used = articles.groupBy("anchor", F.col("target").alias("target_id")).agg(F.count(F.lit(1)).alias("freq"))
-    titles = page.where("type IN (1, 3)").join(final.select(F.col("from_id").alias("id"), "final_id"), "id", "left")
-    titles = titles.select(F.col("title").alias("anchor"), F.when(F.col("type") == 1, F.col("id")).otherwise(F.coalesce("final_id", "id")).alias("target_id")).distinct()
-    anchor = relations.seed_anchors(used, titles).select(X.clean_text(F.col("anchor")).alias("anchor"), "target_id", "freq")
-
-    category = next((name for name, key in namespaces.items() if key == CATEGORIES), "category")
-    ambiguous = stripped.where(languages.is_disambiguation(F.col("text"), lang, category))
-    listed, lost = _split(_lookup(disambiguation_lines(ambiguous, namespaces, lang), index), "disambiguation")
-    rejects.append(lost)
-    disambiguation = relations.disambiguation_index(listed).select("id", F.col("target").alias("target_id"), "index", "scope")
-
-    boxes = base.where(F.contains(F.lower("text"), F.lit("{{infobox "))).select("id", F.col("title").alias("page_title"), F.explode(extract_infobox_links("text")).alias("markup"))
-    boxes = boxes.withColumn("link", parsed(F.col("markup"), namespaces)).where(F.col("link.lang").isNull() & F.col("link.ns").isin(ARTICLES, CATEGORIES))
-    boxes = boxes.select("id", "page_title", "link.ns", F.col("link.title").alias("target_title"))
-    inside, lost = _split(_lookup(boxes, index), "infobox")
-    rejects.append(lost)
-    infobox = inside.select(F.col("id").alias("from_id"), F.col("target").alias("to_id"))
-
-    all_rejects = rejects[0]
-    for more in rejects[1:]:
-        all_rejects = all_rejects.unionByName(more)
-    return Relations(page, relations.page_stats(page), redirect, pagelink, categorylink, translation, disambiguation, equivalence, anchor, infobox, all_rejects)
+    return Relations(pages, namespaces, lang)
 
 
 def distinct_ids(pages: DataFrame) -> DataFrame:
