@@ -127,3 +127,11 @@ def test_dump_header(spark, tmp_path):
     (tmp_path / "y-pages-articles.xml").write_text(DUMP)
     with pytest.raises(ValueError, match="2 dumps"):
         dump.find_dump(spark, str(tmp_path))
+
+
+def test_both_directions_in_small_tasks(spark, monkeypatch):
+    monkeypatch.setattr(relations, "TASK_ROWS", 5)
+    df = spark.createDataFrame([(1, 2), (2, 1), (2, 1), (3, 3), (4, 5), (5, 6), (None, 1), (1, None), (None, None), (7, 1)] * 3, "u long, v long")
+    found = relations.bothdirs(df)
+    assert rows(found) == [(1, 2), (2, 1), (3, 3)]
+    assert found.rdd.getNumPartitions() == 3  # 12 rows whose ends are on both sides
