@@ -134,6 +134,28 @@ def unpacked(sets: DataFrame, value: str) -> DataFrame:
     return one.withColumn(value, F.col("word") * 64 + F.col("__i")).drop("word", "bits", "__i")
 
 
+def short(rows: DataFrame) -> DataFrame:
+    """Written ``rows``, to be broadcast in a join if there are ``BROADCAST_ROWS`` at most."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def marks(ids: DataFrame) -> DataFrame:
+    """The packed set (word, known) of ``ids`` (id), for :func:`among`."""
+    return short(written(packed(ids, "id").withColumnRenamed("bits", "known")))
+
+
+def among(rows: DataFrame, column: str, marked: DataFrame) -> DataFrame:
+    """``rows`` whose whole number in ``column`` is of a set of :func:`marks`; they stay where they are if that is short."""
+    value = F.col(column).cast("bigint")
+    bit = F.expr(f"shiftleft(1L, cast({column} & 63 as int))")
+    return rows.join(marked, F.shiftright(value, 6) == F.col("word")).where(F.col("known").bitwiseAND(bit) != 0).drop("word", "known")
+
+
+def inner_edges(edges: DataFrame) -> DataFrame:
+    """The distinct ``edges`` (u, v) that lead to sources, as (id, mid)."""
+    return written(among(edges, "v", marks(edges.select(F.col("u").alias("id")))).select(F.col("u").alias("id"), F.col("v").cast("bigint").alias("mid")).distinct())
+
+
 def _steps(edges: DataFrame, articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Packed sets (id, word, bits) of the ``articles`` (id) that ``edges`` (u, v) lead to at once, and the edges (id, mid) that lead to sources."""
     links = written(packed(edges.select(F.col("u").alias("id"), F.col("v").alias("target")), "target", "id"))
@@ -188,23 +210,25 @@ def canonical_lists(edges: DataFrame, articles: DataFrame) -> DataFrame:
 def canonical_span(edges: DataFrame, articles: DataFrame) -> DataFrame:
     """(id, target): of the targets of :func:`canonical` the lowest and the highest, one row where they are the same.
 
-    That tells which target is the only one, in two numbers a source.
+    That tells which target is the only one, in two numbers a source.  Edges are tested where they are read; only the two
+    numbers and the edges that lead to sources are dealt.
     """
-    direct, inner = _steps(edges, articles)
-    digits = F.bin("bits")
-    ends = direct.select("id", (F.col("word") * 64 + F.length(digits) - F.length(F.regexp_replace(digits, "0+$", ""))).alias("low"), (F.col("word") * 64 + F.length(digits) - 1).alias("high"))
     span = lambda rows: rows.groupBy("id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    first = written(span(ends))
+    target = F.col("v").cast("bigint")
+    first = written(span(among(edges, "v", marks(articles)).select(F.col("u").alias("id"), target.alias("low"), target.alias("high"))))
+    inner = inner_edges(edges)
     ids = inner.select(F.col("id").alias("__id")).distinct()
     closed = first.join(ids, F.col("id").eqNullSafe(F.col("__id")), "left_anti")
     best = first.join(ids, F.col("id").eqNullSafe(F.col("__id")), "left_semi")
-    new = first
+    mids = marks(inner.select(F.col("mid").alias("id")))
+    new = written(among(first, "id", mids))
     while not new.isEmpty():
-        came = span(inner.join(new.withColumnRenamed("id", "mid"), "mid").select("id", "low", "high"))
+        came = span(inner.join(short(new.withColumnRenamed("id", "mid")), "mid").select("id", "low", "high"))
         had = best.select(F.col("id").alias("__id"), F.col("low").alias("had_low"), F.col("high").alias("had_high"))
         wider = came.join(had, F.col("id").eqNullSafe(F.col("__id")), "left").where("had_low IS NULL OR low < had_low OR high > had_high")
-        new = written(wider.select("id", F.least("low", "had_low").alias("low"), F.greatest("high", "had_high").alias("high")))
-        best = written(span(best.unionByName(new)))
+        grown = written(wider.select("id", F.least("low", "had_low").alias("low"), F.greatest("high", "had_high").alias("high")))
+        best = written(span(best.unionByName(grown)))
+        new = written(among(grown, "id", mids))
     return closed.unionByName(best).select("id", F.explode(F.array_distinct(F.array("low", "high"))).alias("target"))
 
 
@@ -225,19 +249,21 @@ def category_relation(links: DataFrame, pages: DataFrame, canon: DataFrame) -> D
     types = pages.groupBy(F.col("id").alias("v")).agg(F.bool_or(F.col("type") == 2).alias("category"))
     bad = F.raise_error(F.concat(F.lit("no category: "), F.col("v").cast("string"))).cast("bigint")
     checked = links.join(types, "v").select("u", F.when(F.col("category"), F.col("v")).otherwise(bad).alias("v"))
-    return relation(checked, pages, canon, "C1", (1, 3, 4))
+    return relation(checked, pages, canon, "C1", (1, 3, 4), targets=links.select("v"))
 
 
-def relation(links: DataFrame, pages: DataFrame, canon: DataFrame, source: str, u_types: tuple[int, ...] = (1,), v_types: tuple[int, ...] | None = None) -> DataFrame:
+def relation(links: DataFrame, pages: DataFrame, canon: DataFrame, source: str, u_types: tuple[int, ...] = (1,), v_types: tuple[int, ...] | None = None, targets: DataFrame | None = None) -> DataFrame:
     """Edges (u, v, s, d) between canonical titles of links (u, v) whose ends have the given types.
 
-    Of ``canon`` (id, target) the lowest and the highest target of an id are enough.  Ends are found by page, so each link is joined twice only.
+    Of ``canon`` (id, target) the lowest and the highest target of an id are enough.  Ends are found by page, so each link is joined twice only;
+    ends of what links lead to (``targets``, with a column v, if told) are broadcast where they are few, so that links are dealt once, without titles.
     """
     ends = written(_ends(pages, canon))
     typed = lambda types: ends.join(pages.where(F.col("type").isin(*types)).select("id").distinct(), "id", "left_semi") if types else ends
     first = typed(u_types).select(F.col("id").alias("u"), F.col("end").alias("cu"), F.col("title").alias("tu"))
-    second = typed(v_types).select(F.col("id").alias("v"), F.col("end").alias("cv"), F.col("title").alias("tv"))
-    found = links.join(first, "u").join(second, "v").where("cu != cv")
+    linked = marks((links if targets is None else targets).select(F.col("v").alias("id")))
+    second = among(typed(v_types), "id", linked).select(F.col("id").alias("v"), F.col("end").alias("cv"), F.col("title").alias("tv"))
+    found = links.join(first, "u").join(short(written(second)), "v").where("cu != cv")
     return found.select(F.col("tu").alias("u"), F.col("tv").alias("v"), F.lit(source).alias("s"), F.lit(1).alias("d"))
 
 

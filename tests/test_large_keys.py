@@ -77,3 +77,18 @@ def test_shared_targets_stay_packed(spark):
     closed, opened = relations.reach(edges, articles)
     assert closed.isEmpty() and opened.count() <= 50 * 20_000 // 32
     assert relations.canonical_span(edges, articles).count() == 100
+
+
+def test_links_are_dealt_once(spark):
+    """Of the two joins of links with the ends of pages, only the one by source deals them."""
+    links = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "u long, v long")
+    pages = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 4)], "id long, title string, type int")
+    canon = spark.createDataFrame([(3, 1), (3, 2)], "id long, target long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = relations.relation(links, pages, canon, "A", ())
+        assert found._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 1
+        assert [tuple(r) for r in found.collect()] == [("a", "b", "A", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
