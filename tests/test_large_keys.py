@@ -92,3 +92,13 @@ def test_links_are_dealt_once(spark):
         assert [tuple(r) for r in found.collect()] == [("a", "b", "A", 1)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_loops_and_null_sources(spark):
+    """A loop that shares its line, what leads to it and from it, an edge to itself and a source that isn't known."""
+    edges = {(1, 2), (2, 3), (3, 1), (3, 10), (4, 1), (2, 5), (5, 11), (6, 6), (6, 70), (None, 4), (None, 12), (7, 13)}
+    articles = {3, 5, 6, 10, 11, 12, 13, 70}
+    frames = spark.createDataFrame(list(edges), "u long, v long"), spark.createDataFrame([(a,) for a in articles], "id long")
+    assert {tuple(r) for r in relations.loops(frames[0].where("u IS NOT NULL")).collect()} == {(1, 3), (2, 3), (3, 3)}
+    got = [tuple(r) for r in relations.canonical_lists(*frames).collect()]
+    assert sorted(got, key=str) == sorted(((u, ",".join(map(str, ts))) for u, ts in brute(edges, articles).items()), key=str)
