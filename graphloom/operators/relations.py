@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
@@ -16,22 +17,39 @@ from graphloom.functions import text as X
 BROADCAST_ROWS = 500_000
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back, compressed, so that its lineage is cut.
+def _folder(spark) -> str:
+    """A new name in the shared checkpoint folder.
 
     A folder of our own serves only where none is named and Spark runs in one process.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared and context.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="graphloom-"))
-    path = f"{context.getCheckpointDir()}/written-{uuid4().hex}"
+    return f"{context.getCheckpointDir()}/written-{uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back, compressed, so that its lineage is cut."""
+    path = _folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(rows: DataFrame, key: str, parts: int) -> DataFrame:
+    """``rows`` written like :func:`written`, dealt to ``parts`` by ``key``, so that those dealt alike are joined without a shuffle.
+
+    Each task sorts what it writes by ``key``, so that columns of numbers take a fraction of the bytes that their rows take in a shuffle.
+    """
+    spark, name = rows.sparkSession, f"dealt_{uuid4().hex}"
+    rows.write.bucketBy(parts, key).sortBy(key).option("path", _folder(spark)).option("compression", "zstd").format("parquet").saveAsTable(name)
+    back = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return back
+
+
 #: Parts of a union that are written as one before more are added; a plan with many parts grows past what Spark compiles.
 PARTS = 8
 
@@ -303,19 +321,40 @@ def canonical_span(edges: DataFrame, articles: DataFrame) -> DataFrame:
     return closed.unionByName(best).select("id", F.explode(F.array_distinct(F.array("low", "high"))).alias("target"))
 
 
-def _ends(pages: DataFrame, canon: DataFrame) -> DataFrame:
-    """(id, end, title) of the pages that have one end: the only canonical target of an id, or the id itself where it has none."""
-    titles = pages.select(F.col("id").alias("end"), X.normalize_title(F.col("title")).alias("title")).where(X.truthy(F.col("title")))
-    spans = canon.groupBy("id").agg(F.min("target").alias("only"), F.max("target").alias("last"))
-    own = titles.join(spans, F.col("end") == F.col("id"), "left_anti").select(F.col("end").alias("id"), "end", "title")
-    led = spans.where("only = last").join(titles, F.col("only") == F.col("end")).select("id", "end", "title")
-    return own.unionByName(led)
+def _ends(pages: DataFrame, canon: DataFrame, sets: list[DataFrame]) -> DataFrame:
+    """(id, end, title) of the ids in all ``sets`` (:func:`marks`) that have one end: the only canonical target of an id, or the id itself where it has none.
+
+    Titles stay where they are read, unless there are too many targets to be broadcast.
+    """
+    titles = pages.where(X.truthy(F.col("title"))).select(F.col("id").alias("end"), "title")
+    asked = lambda rows, column: reduce(lambda left, marked: among(left, column, marked), sets, rows)
+    spans = written(asked(canon, "id").groupBy("id").agg(F.min("target").alias("only"), F.max("target").alias("last")))
+    own = among(asked(titles, "end"), "end", marks(spans.select("id")), outside=True).select(F.col("end").alias("id"), "end", "title")
+    led = titles.join(short(spans.where("only = last").select("id", "only")), F.col("only") == F.col("end")).select("id", "end", "title")
+    return written(own.unionByName(led).withColumn("title", X.normalize_title(F.col("title"))))
+
+
+#: Ends of one part; Spark is left to join twice as many.
+ENDS = 50_000
+
+
+def _met(rows: DataFrame, key: str, ends: DataFrame, *others: DataFrame) -> DataFrame:
+    """``rows`` joined by ``key`` with written ``ends``; where these are many, both are dealt to files, not shuffled.
+
+    Of the rows, those go there whose numbers are all among the first columns, of the same names, of ``ends`` and ``others``.  The rows of an end stay in one task.
+    """
+    n = ends.count()
+    if n <= 2 * ENDS:
+        return rows.join(ends, key)
+    for known in (ends, *others):
+        rows = among(rows, known.columns[0], marks(known.select(F.col(known.columns[0]).alias("id"))))
+    return dealt(rows, key, n // ENDS + 1).join(dealt(ends, key, n // ENDS + 1).hint("merge"), key)
 
 
 def category_relation(links: DataFrame, pages: DataFrame, canon: DataFrame) -> DataFrame:
     """Edges (u, v, s, d) from the canonical titles of pages that aren't categories to the titles of their categories.
 
-    A known target that is no category is an error when the result is read.
+    A known target that is no category is an error when the result is read, or before where links are dealt.
     """
     types = pages.groupBy(F.col("id").alias("v")).agg(F.bool_or(F.col("type") == 2).alias("category"))
     bad = F.raise_error(F.concat(F.lit("no category: "), F.col("v").cast("string"))).cast("bigint")
@@ -327,14 +366,16 @@ def relation(links: DataFrame, pages: DataFrame, canon: DataFrame, source: str,
     """Edges (u, v, s, d) between canonical titles of links (u, v) whose ends have the given types.
 
     Of ``canon`` (id, target) the lowest and the highest target of an id are enough.  Ends are found by page, so each link is joined twice only;
-    ends of what links lead to (``targets``, with a column v, if told) are broadcast where they are few, so that links are dealt once, without titles.
+    ends of what links lead to (``targets``, with a column v, if told) are broadcast where they are few, so that links are dealt once, without titles,
+    and only those with two ends.
     """
-    ends = written(_ends(pages, canon))
-    typed = lambda types: ends.join(pages.where(F.col("type").isin(*types)).select("id").distinct(), "id", "left_semi") if types else ends
-    first = typed(u_types).select(F.col("id").alias("u"), F.col("end").alias("cu"), F.col("title").alias("tu"))
+    typed = {types: [marks(pages.where(F.col("type").isin(*types)).select("id"))] if types else [] for types in {u_types, v_types}}
     linked = marks((links if targets is None else targets).select(F.col("v").alias("id")))
-    second = among(typed(v_types), "id", linked).select(F.col("id").alias("v"), F.col("end").alias("cv"), F.col("title").alias("tv"))
-    found = links.join(first, "u").join(short(written(second)), "v").where("cu != cv")
+    first = _ends(pages, canon, typed[u_types]).select(F.col("id").alias("u"), F.col("end").alias("cu"), F.col("title").alias("tu"))
+    second = _ends(pages, canon, [linked, *typed[v_types]]).select(F.col("id").alias("v"), F.col("end").alias("cv"), F.col("title").alias("tv"))
+    found = _met(links.select("u", "v"), "u", first, second)
+    found = found.join(F.broadcast(second), "v") if second.count() <= BROADCAST_ROWS else _met(found, "v", second)
+    found = found.where("cu != cv")
     return found.select(F.col("tu").alias("u"), F.col("tv").alias("v"), F.lit(source).alias("s"), F.lit(1).alias("d"))
 
 

@@ -102,3 +102,38 @@ def test_loops_and_null_sources(spark):
     assert {tuple(r) for r in relations.loops(frames[0].where("u IS NOT NULL")).collect()} == {(1, 3), (2, 3), (3, 3)}
     got = [tuple(r) for r in relations.canonical_lists(*frames).collect()]
     assert sorted(got, key=str) == sorted(((u, ",".join(map(str, ts))) for u, ts in brute(edges, articles).items()), key=str)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_many_ends_need_no_shuffle(spark, monkeypatch, few):
+    """Links to and from more pages than are broadcast, repeated ids, links without an end and loose ones: no row of a link is shuffled."""
+    monkeypatch.setattr(relations, "ENDS", 10, raising=False)
+    if not few:
+        monkeypatch.setattr(relations, "BROADCAST_ROWS", 5)
+    rng = random.Random(7)
+    pages = [(i, f"t {i}#x", 1 + (i % 5 == 0)) for i in range(-50, 150)] + [(7, "twice", 1), (8, None, 4)]
+    canon = [(i, i + 1) for i in range(0, 30, 3)] + [(3, 90), (200, 9), (None, 1)]
+    links = [(rng.randrange(-60, 160), rng.randrange(-60, 210)) for _ in range(3000)] + [(None, 1), (1, None)]
+    frames = spark.createDataFrame(links, "u long, v long"), spark.createDataFrame(pages, "id long, title string, type int"), spark.createDataFrame(canon, "id long, target long")
+
+    def ends(i, types):
+        targets = {t for s, t in canon if s == i}
+        known = not types or any(x == i and k in types for x, _, k in pages)
+        end = next(iter(targets), i)
+        return [(end, t.split("#")[0].replace(" ", "_")) for x, t, _ in pages if x == end and t] if known and len(targets) < 2 and i is not None else []
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in confs}
+    tables = {t.name for t in spark.catalog.listTables()}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        for u_types, v_types in (((1,), None), ((1,), (1,)), ((), (2,))):
+            found = relations.relation(*frames, "A", u_types, v_types)
+            expected = sorted((a, b, "A", 1) for u, v in links for x, a in ends(u, u_types) for y, b in ends(v, v_types) if x != y)
+            assert expected and sorted(tuple(r) for r in found.collect()) == expected
+            assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {t.name for t in spark.catalog.listTables()} == tables
